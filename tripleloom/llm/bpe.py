@@ -27,7 +27,7 @@ from .common import prepare
 #: A vocabulary file is sent to executors whole; larger ones are refused.
 MOST_VOCABULARY = 64 << 20
 #: Words whose pieces a worker remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 #: Longer words are encoded but not remembered.
 LONG_WORD = 64
 
@@ -39,6 +39,22 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Memo(dict):
+    """The decimal ids of words, found on first use; emptied when it is full."""
+
+    def __init__(self, find) -> None:
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str) -> str:
+        got = self.find(word)
+        if len(word) <= LONG_WORD:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = got
+        return got
+
+
 class Encoder:
     """Encoder and decoder of a ``tokenizers`` file of kind BPE with byte symbols.
 
@@ -57,13 +73,15 @@ class Encoder:
             raise ValueError("unsupported tokenizer file")
         self.nfc, self.lower = "NFC" in kinds, "Lowercase" in kinds
         self.replaced = [(regex.compile(x["pattern"]["Regex"]), x["content"]) for x in steps if x["type"] == "Replace"]
+        if [(p.pattern, to) for p, to in self.replaced] == [(r"\s+", " ")]:
+            self.replaced = []  # runs of space only part words, as one space does
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.added_pattern = regex.compile("|".join(regex.escape(x) for x in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.symbol = byte_symbols()
         self._tables(model["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]])
-        self.remembered: dict[str, tuple[str, int]] = {}
+        self.remembered = _Memo(self._ids)
 
     def _tables(self, vocab: dict[str, int], merges: list[tuple[str, str]]) -> None:
         """Ranks: base symbols first, then one per merge, in the order of the merges."""
@@ -101,12 +119,14 @@ class Encoder:
         self.shorter = [self._prefix(s) for s in self.spelled]
         texts = [t.encode() for t in self.token]
         by_id = sorted([*zip(self.ids, texts, strict=True), *((i, t.encode()) for t, i in self.added.items())])
+        by_id = [(i, t + b" ") for i, t in by_id]
         size = by_id[-1][0] + 1
         lengths = np.zeros(size + 1, np.int64)
         for i, t in by_id:
             lengths[i + 1] = len(t)
         self.offset = np.cumsum(lengths)
-        self.blob = b"".join(t for _, t in by_id)
+        self.size = lengths[1:].astype(np.int32)
+        self.blob = np.frombuffer(b"".join(t for _, t in by_id), np.uint8)
 
     def _prefix(self, s: str) -> int:
         """The longest other token that s begins with, -1 if there is none."""
@@ -154,10 +174,8 @@ class Encoder:
             return [whole]
         longest = [-1] * n
         length = self.length
-        for last, r in self.automaton.iter(word):
-            at = last - length[r] + 1
-            if longest[at] < 0 or length[longest[at]] < length[r]:
-                longest[at] = r
+        for last, r in self.automaton.iter(word):  # by their ends: at a start, later ones are longer
+            longest[last - length[r] + 1] = r
         live = bytearray(b"\1") * (n + 1)
         out: list[int] = []
         at, r = 0, longest[0]
@@ -176,61 +194,47 @@ class Encoder:
                 at -= length[r]
         return out
 
-    def _piece(self, word: str) -> tuple[str, int]:
-        """The decimal ids of a word, joined by spaces, and their number."""
-        if (known := self.remembered.get(word)) is not None:
-            return known
+    def _ids(self, word: str) -> str:
+        """The decimal ids of a word, joined by spaces."""
         symbols = "".join(map(self.symbol.__getitem__, word.encode()))
         if self.suffix:
             symbols = symbols[:-1] + chr(ord(symbols[-1]) + 0x10000)
-        ranks = self.pieces(symbols)
-        got = (" ".join(str(self.ids[r]) for r in ranks), len(ranks))
-        if len(word) <= LONG_WORD:
-            if len(self.remembered) >= REMEMBERED:
-                self.remembered.clear()
-            self.remembered[word] = got
-        return got
+        ids = self.ids
+        return " ".join([str(ids[r]) for r in self.pieces(symbols)])
 
-    def _plain(self, text: str) -> tuple[list[str], int]:
+    def _plain(self, text: str) -> list[str]:
         if self.nfc and not text.isascii():
             text = unicodedata.normalize("NFC", text)
         for pattern, to in self.replaced:
             text = pattern.sub(to, text)
         if self.lower:
             text = text.replace("Σ", "σ").lower()
-        known = self.remembered.get
-        got = [known(w) or self._piece(w) for w in self.words.findall(text) if w]
-        return [x[0] for x in got], sum([x[1] for x in got])
+        return list(map(self.remembered.__getitem__, self.words.findall(text)))
 
-    def encode_text(self, text: str | None) -> tuple[str, int]:
-        """The decimal ids of a text joined by one space, and their number; null is empty."""
+    def encode_text(self, text: str | None) -> str:
+        """The decimal ids of a text joined by one space; null is empty."""
         if not text:
-            return "", 0
+            return ""
         if not self.added_pattern or not self.added_pattern.search(text):
-            ids, n = self._plain(text)
-            return " ".join(ids), n
-        ids, n, at = [], 0, 0
+            return " ".join(self._plain(text))
+        ids, at = [], 0
         for m in self.added_pattern.finditer(text):
-            more, k = self._plain(text[at : m.start()])
-            ids += [*more, str(self.added[m[0]])]
-            n, at = n + k + 1, m.end()
-        more, k = self._plain(text[at:])
-        return " ".join(ids + more), n + k
+            ids += [*self._plain(text[at : m.start()]), str(self.added[m[0]])]
+            at = m.end()
+        return " ".join(ids + self._plain(text[at:]))
 
     def encode(self, text: str | None) -> list[int]:
-        return list(map(int, self.encode_text(text)[0].split()))
+        return list(map(int, self.encode_text(text).split()))
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens joined by one space, in UTF-8, gathered from one blob by their offsets."""
         if not len(ids):
             return b""
-        size = self.offset[ids + 1] - self.offset[ids] + 1
+        size = self.size[ids]
         ends = np.cumsum(size)
-        out = np.full(ends[-1], 32, np.uint8)
-        inside = np.arange(ends[-1]) - np.repeat(ends - size, size)
-        token = inside < np.repeat(size - 1, size)
-        out[token] = np.frombuffer(self.blob, np.uint8)[(np.repeat(self.offset[ids], size) + inside)[token]]
-        return out[:-1].tobytes()
+        place = np.arange(ends[-1])
+        place += np.repeat(self.offset[ids] - (ends - size), size)
+        return self.blob[place][:-1].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -264,10 +268,11 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
         for batch in batches:
             count, ids, one, two = [], [], [], []
             for text in batch.column(1).to_pylist():
-                line, n = tool.encode_text(text)
-                numbers = np.array(line.split(" "), dtype=np.int32) if n else np.zeros(0, np.int32)
-                count.append(n)
-                ids.append(numbers)
+                line = tool.encode_text(text)
+                numbers = np.fromstring(line, np.int32, sep=" ")
+                count.append(len(numbers))
+                if with_ids:
+                    ids.append(numbers)
                 one.append(hashlib.sha256(line.encode()).hexdigest())
                 two.append(hashlib.sha256(tool.decode(numbers)).hexdigest())
             columns = {"doc_id": batch.column(0), "n_tokens": pa.array(count, pa.int64())}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, quality, simhash, suffix, urlfilter, warc
+from . import bpe, html, langid, quality, simhash, suffix, urlfilter, warc
 from .common import stage_path
 
 #: The vocabulary that the registered queries read.
@@ -44,6 +44,10 @@ def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_table(spark, sf_dir, "pages"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_langid": op6_langid,
     "op7_urlfilter": op7_urlfilter,
+    "op8_html": op8_html,
     "op9_quality": op9_quality,
 }
 

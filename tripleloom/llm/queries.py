@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, langid, quality, simhash, suffix, urlfilter, warc
+from . import bpe, decontam, html, langid, pii, quality, simhash, suffix, urlfilter, warc
 from .common import stage_path
 
 #: The vocabulary that the registered queries read.
@@ -30,6 +30,10 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(_table(spark, sf_dir, "documents"), with_kept=False)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "archive")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
@@ -52,15 +56,21 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op3_suffix": op3_suffix,
+    "op4_pii": op4_pii,
     "op5_warc": op5_warc,
     "op6_langid": op6_langid,
     "op7_urlfilter": op7_urlfilter,
     "op8_html": op8_html,
     "op9_quality": op9_quality,
+    "op10_decontam": op10_decontam,
 }
 
 #: Payload digests in base32: 20 bits at a time, taken from five hex digits of the SHA-1.

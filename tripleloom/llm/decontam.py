@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from .common import prepare, stage
 
@@ -330,12 +332,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, most_items: int = MOST_I
     out = None
     for k in range(blocks):
         part = chosen.filter(F.pmod(F.xxhash64(*columns), F.lit(blocks)) == k) if blocks > 1 else chosen
-        found = _search(rows, space, items_of(sorted(part.collect(), key=str)), shape)
+        found = _search(rows, space, items_of(sorted(part.collect(), key=str)), shape, benchmark.schema["item_id"].dataType)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _search(rows: DataFrame, space: Space, items: list[Item], shape: str) -> DataFrame:
+def _search(rows: DataFrame, space: Space, items: list[Item], shape: str, item_type: DataType) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast((space, items))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,10 +347,11 @@ def _search(rows: DataFrame, space: Space, items: list[Item], shape: str) -> Dat
         for batch in batches:
             got = list(tool.search(batch.column(1).to_pylist()))
             doc = batch.column(0).take(pa.array([x[0] for x in got], pa.int64()))
-            item = pa.array([items[x[1]].item_id for x in got])
+            item = pa.array([items[x[1]].item_id for x in got], kinds)
             rest = [pa.array([x[i] for x in got], pa.float64()) for i in (2, 3, 4)]
             yield pa.RecordBatch.from_arrays([doc, item, *rest, pa.array([x[5] for x in got], pa.int64())], names)
 
+    kinds = to_arrow_type(item_type)
     shape_names = ["doc_id", "item_id", "cosine", "lcs", "answer", "first_word"]
     return rows.mapInArrow(run, shape)
 

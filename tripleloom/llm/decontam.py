@@ -25,7 +25,7 @@ from pyspark.sql.types import DataType
 from .common import prepare, stage
 
 #: Buckets for words, dimensions of the latent space, further columns of the sketch.
-BUCKETS, DIMENSIONS, SPARE = 1 << 12, 64, 16
+BUCKETS, DIMENSIONS, SPARE = 1 << 12, 84, 12
 #: Words of a window by the length of items; longer items are searched in parts.
 WINDOWS = (16, 32, 64)
 #: Least cosine of a candidate, least common subsequence of a copy, and of a paraphrase and its answer.
@@ -33,7 +33,7 @@ COSINE, COPY, PARAPHRASE, ANSWER = 0.4, 0.8, 0.6, 0.8
 #: Items under so many words must occur word by word.
 SHORT = 8
 #: Words of passages that the space is made from; words that are handled at once.
-PASSAGE, PART = 64, 60_000
+PASSAGE, PART = 64, 10_000
 #: Items that are sent to executors at once; more go in several searches.
 MOST_ITEMS = 4000
 #: Letters of words: digits, letters, the underscore, and all that is not ASCII but this punctuation.
@@ -82,7 +82,7 @@ def buckets_of(data: bytes) -> np.ndarray:
     return (h >> np.uint64(52)).astype(np.int64)
 
 
-def lcs(masks: dict[bytes, int], size: int, words: list[bytes]) -> int:
+def lcs(masks: dict, size: int, words: list) -> int:
     """Length of the longest common subsequence, by bits; ``masks`` has the places of each word of one side."""
     row = (1 << size) - 1
     full = row
@@ -93,8 +93,8 @@ def lcs(masks: dict[bytes, int], size: int, words: list[bytes]) -> int:
     return size - row.bit_count()
 
 
-def masks_of(words: list[bytes]) -> dict[bytes, int]:
-    out: dict[bytes, int] = {}
+def masks_of(words: list) -> dict:
+    out: dict = {}
     for i, w in enumerate(words):
         out[w] = out.get(w, 0) | 1 << i
     return out
@@ -149,8 +149,8 @@ def latent_space(docs: DataFrame) -> Space:
                 df += np.bincount(b, minlength=BUCKETS) > 0
             for b in _parts(rows):
                 count = len(b) // PASSAGE
-                cell = np.repeat(np.arange(count) * (BUCKETS + 1), PASSAGE) + b
-                table = np.bincount(cell, minlength=count * (BUCKETS + 1)).reshape(count, -1).astype(np.float32)
+                table = np.zeros((count, BUCKETS + 1), np.float32)
+                np.add.at(table, (np.repeat(np.arange(count), PASSAGE), b), np.float32(1))
                 y = _added(probe, b, PASSAGE)
                 y /= np.maximum(PASSAGE - table[:, BUCKETS:], 1)
                 image += table.T @ y
@@ -203,9 +203,12 @@ class Searcher:
         self.masks = [masks_of(x.words) for x in items]
         self.answers = [masks_of(x.answer) for x in items]
         self.sizes = np.array([len(x.words) for x in items])
+        self.hashed: list[dict] = []
         self.has = np.zeros((len(items), BUCKETS + 1), bool)
         for i, x in enumerate(items):
-            self.has[i, buckets_of(b" ".join(x.words))] = True
+            hashed = buckets_of(b" ".join(x.words))
+            self.has[i, hashed] = True
+            self.hashed.append(masks_of(hashed.tolist()))
         self.queries = {w: ([], []) for w in WINDOWS}
         for i, x in enumerate(items):
             for at in range(0, len(x.words), WINDOWS[-1]):
@@ -286,6 +289,12 @@ class Searcher:
                 old = best.get((row, i))
                 if old and old[2] >= 1.0:
                     continue
+                at, end = self.region(first, i, place)
+                near = b[at:end]
+                size = len(self.items[i].words)
+                # equal words have equal buckets: what fails on buckets fails on words
+                if lcs(self.hashed[i], size, near[self.has[i, near]].tolist()) < PARAPHRASE * size:
+                    continue
                 if row not in words:
                     words[row] = words_of(texts[row])
                 found = self.check(words[row], base + first, i, place)

@@ -192,8 +192,8 @@ class Surrogates:
         if kind == "ssn":
             return self.digits("ssn", value)
         if kind == "phone":
-            # the country code and the leading digit of the rest stay
-            stem = 2 if value.startswith("+") else 0
+            # the country code stays, or the two digits that it begins with
+            stem = 0 if value[0] != "+" else 2 if value[1] in "17" else 3
             return value[:stem] + self.digits("phone" + value[:stem], value[stem:])
         if kind == "ip":
             x = 0

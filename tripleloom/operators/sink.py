@@ -40,7 +40,7 @@ def number_rows(df: DataFrame, chunk_size: int) -> DataFrame:
     starts = [0, *accumulate(n for _, n in counts)]
     table = df.sparkSession.createDataFrame([(p, s) for (p, _), s in zip(counts, starts, strict=False)], "__part long, __start long")
     index = F.col("__start") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    out = marked.withColumn("__part", part.cast("long")).join(table, "__part")
+    out = marked.withColumn("__part", part.cast("long")).join(F.broadcast(table), "__part")  # a row a partition
     return out.withColumn("place", index).withColumn("chunk", F.floor(index / chunk_size).cast("int")).drop("__id", "__part", "__start")
 
 

@@ -38,10 +38,13 @@ class Term:
 
 @dataclass(frozen=True)
 class Links:
-    """An array of IRIs, one statement each."""
+    """IRIs of which some may be null, one statement each."""
 
     predicate: str
-    iris: Column
+    iris: tuple[Column, ...]
+
+    def array(self) -> Column:
+        return F.filter(F.array(*self.iris), lambda i: i.isNotNull())
 
 
 @dataclass(frozen=True)
@@ -88,60 +91,63 @@ class Mapping:
 
     # --- triples -------------------------------------------------------------------------------
 
-    def _triple(self, s: Column, p: str, o: Column, kind: str, datatype: str | None = None) -> Column:
-        made = F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), F.lit(datatype).cast("string").alias("o_datatype"))
-        return F.when(o.isNotNull(), F.array(made))
-
-    def _arrays(self, s: Column, statements: tuple) -> list[Column]:
+    def _rows(self, s: Column, statements: tuple, predicates: set[str] | None, on: Column | None = None) -> list[Column]:
+        """Structs of the single statements, null where nothing is said; plain expressions, no lambdas."""
         out = []
+
+        def add(p: str, o: Column, kind: str, datatype: str | None = None, subject: Column = s, given: Column | None = on) -> None:
+            if predicates is None or p in predicates:
+                said = o.isNotNull() if given is None else given & o.isNotNull()
+                out.append(F.when(said, self._row(subject, p, o, kind, datatype)))
+
         for x in statements:
             if isinstance(x, Text):
-                out.append(self._triple(s, self.full(x.predicate), x.value, "literal", self.full(x.datatype) if x.datatype else None))
+                add(self.full(x.predicate), x.value, "literal", self.full(x.datatype) if x.datatype else None)
             elif isinstance(x, Term):
-                out.append(self._triple(s, self.full(x.predicate), S.iri(self.prefixes[x.prefix], x.local), "iri"))
+                add(self.full(x.predicate), S.iri(self.prefixes[x.prefix], x.local), "iri")
             elif isinstance(x, Links):
-                out.append(self._link_rows(s, x))
+                for i in x.iris:
+                    add(self.full(x.predicate), i, "iri")
             elif isinstance(x, Node):
-                node = F.when(F.coalesce(*x.given).isNotNull(), S.bnode(self.key, x.label))
-                inner = [self._triple(s, self.full(x.predicate), node, "bnode")]
+                there = F.coalesce(*x.given).isNotNull() if on is None else on & F.coalesce(*x.given).isNotNull()
+                node = S.bnode(self.key, x.label)
+                add(self.full(x.predicate), node, "bnode", given=there)
                 if x.type:
-                    inner.append(self._triple(node, vocab.RDF_TYPE, S.iri(self.prefixes[x.type[0]], x.type[1]), "iri"))
-                inner += self._arrays(node, x.statements)
-                out.append(F.when(node.isNotNull(), self._joined(inner)))
-            else:
-                out.append(self._part_rows(s, x))
+                    add(vocab.RDF_TYPE, S.iri(self.prefixes[x.type[0]], x.type[1]), "iri", subject=node, given=there)
+                out += self._rows(node, x.statements, predicates, there)
         return out
 
-    def _link_rows(self, s: Column, x: Links) -> Column:
-        return F.transform(x.iris, lambda i: self._row(s, self.full(x.predicate), i, "iri"))
+    def _part_rows(self, s: Column, x: Parts, predicates: set[str] | None) -> Column:
+        """The array of a :class:`Parts`: four statements an item."""
 
-    def _part_rows(self, s: Column, x: Parts) -> Column:
         def rows(a: Column) -> Column:
-            return F.array(
-                self._row(s, self.full(x.predicate), a.iri, "iri"),
-                self._row(a.iri, vocab.RDF_TYPE, F.lit(self.full(x.type)), "iri"),
-                self._row(a.iri, self.full(x.name), a["name"], "literal"),
-                self._row(a.iri, self.full(x.value), a["value"], "literal"),
-            )
+            every = [(s, self.full(x.predicate), a.iri, "iri"), (a.iri, vocab.RDF_TYPE, F.lit(self.full(x.type)), "iri"), (a.iri, self.full(x.name), a["name"], "literal"), (a.iri, self.full(x.value), a["value"], "literal")]
+            kept = [self._row(*r) for r in every if predicates is None or r[1] in predicates]
+            return F.array(*kept) if kept else F.array().cast(f"array<{TRIPLE}>")
 
-        return F.flatten(F.transform(x.items, rows))
+        return F.coalesce(F.flatten(F.transform(x.items, rows)), F.array().cast(f"array<{TRIPLE}>"))
 
     @staticmethod
-    def _row(s: Column, p: str, o: Column, kind: str) -> Column:
-        return F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"))
+    def _row(s: Column, p: str, o: Column, kind: str, datatype: str | None = None) -> Column:
+        return F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), F.lit(datatype).cast("string").alias("o_datatype")).cast(TRIPLE)
 
-    @staticmethod
-    def _joined(arrays: list[Column]) -> Column:
-        empty = F.array().cast(f"array<{TRIPLE}>")
-        return F.concat(*[F.coalesce(a, empty) for a in arrays])
+    def _said_rows(self, predicates: set[str] | None = None) -> Column:
+        """All statements of a record as an array, with nulls where nothing is said."""
+        head = [F.when(self.type[1].isNotNull(), self._row(self.subject, vocab.RDF_TYPE, S.iri(self.prefixes[self.type[0]], self.type[1]), "iri"))]
+        rows = (head if predicates is None or vocab.RDF_TYPE in predicates else []) + self._rows(self.subject, self.statements, predicates)
+        single = F.array(*rows) if rows else F.array().cast(f"array<{TRIPLE}>")
+        parts = [self._part_rows(self.subject, x, predicates) for x in self.statements if isinstance(x, Parts)]
+        return F.concat(single, *parts) if parts else single
 
     def triple_array(self) -> Column:
-        kind = self._triple(self.subject, vocab.RDF_TYPE, S.iri(self.prefixes[self.type[0]], self.type[1]), "iri")
-        return self._joined([kind, *self._arrays(self.subject, self.statements)])
+        return F.filter(self._said_rows(), lambda t: t.isNotNull())
+
+    def triples(self, records: DataFrame, predicates: set[str] | None = None) -> DataFrame:
+        """(source, s, p, o, o_kind, o_datatype): what the records say, in their order. No shuffle.
 
-    def triples(self, records: DataFrame) -> DataFrame:
-        """(source, s, p, o, o_kind, o_datatype): what the records say, in their order. No shuffle."""
-        return records.select(F.lit(self.source).alias("source"), F.inline(self.triple_array()))
+        With ``predicates`` only their statements are made, and only the columns they need are read.
+        """
+        return records.select(F.lit(self.source).alias("source"), F.inline(self._said_rows(predicates))).filter(F.col("s").isNotNull())
 
     # --- N-Triples -------------------------------------------------------------------------------
 
@@ -173,8 +179,7 @@ class Mapping:
             elif isinstance(x, Term):
                 out.append(F.when(x.local.isNotNull(), F.array(F.concat(lead, self._local(x.prefix, x.local)))))
             elif isinstance(x, Links):
-                shown = F.transform(x.iris, lambda i: F.concat(F.lit("<"), i, F.lit(">")))
-                out.append(_led(lead, shown))
+                out += [F.when(i.isNotNull(), F.array(F.concat(lead, F.lit("<"), i, F.lit(">")))) for i in x.iris]
             elif isinstance(x, Node):
                 inner = [F.when(x.type[1].isNotNull(), F.array(F.concat(F.lit("a "), self._local(*x.type))))] if x.type else []
                 body = F.array_join(F.transform(self._texts([*inner, *self._said(x.statements)]), lambda t: F.concat(F.lit("    "), t)), " ;\n")
@@ -222,7 +227,7 @@ class Mapping:
             elif isinstance(x, Term):
                 value = F.when(x.local.isNotNull(), json_object([json_member("@id", S.json_text(F.concat(F.lit(x.prefix + ":"), x.local)))], depth + 1))
             elif isinstance(x, Links):
-                value = json_array(F.transform(x.iris, lambda i: json_object([json_member("@id", S.json_text(i))], depth + 2)), depth + 1)
+                value = json_array(F.transform(x.array(), lambda i: json_object([json_member("@id", S.json_text(i))], depth + 2)), depth + 1)
             elif isinstance(x, Node):
                 kind = [json_member("@type", S.json_text(F.concat(F.lit(x.type[0] + ":"), x.type[1])))] if x.type else []
                 value = F.when(F.coalesce(*x.given).isNotNull(), json_object([*kind, *self._members(x.statements, depth + 1)], depth + 1))
@@ -245,10 +250,6 @@ class Mapping:
         return json_object([*head, *self._members(self.statements, 0)], 0)
 
 
-def _led(lead: Column, texts: Column) -> Column:
-    return F.transform(texts, lambda t: F.concat(lead, t))
-
-
 def json_member(key: str, value: Column) -> Column:
     return F.concat(F.lit(f'"{key}": '), value)
 

@@ -24,6 +24,8 @@ BUCKETS, SIZES = 1 << 14, 3
 #: Characters of a very long text that are counted at once.
 SEGMENT = 1 << 20
 UNKNOWN = "und"
+#: Different languages at most: a table of them is broadcast.
+MOST_LANGUAGES = 10_000
 
 
 @cache
@@ -160,10 +162,12 @@ def fit(docs: DataFrame, sample_rows: int = 2000) -> Model:
     total = sum(languages.values())
     if not total:
         return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0))
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     idf = np.log((1 + total) / (1 + df)) + 1
     share = max(20, sample_rows // len(languages))
     odds = spark.createDataFrame([(x, min(1.0, share / n)) for x, n in languages.items()], "lang string, odds double")
-    drawn = rows.join(odds, "lang").filter((F.xxhash64("doc_id", "text") % 1_000_003 + 1_000_003) % 1_000_003 < F.col("odds") * 1_000_003)
+    drawn = rows.join(F.broadcast(odds), "lang").filter((F.xxhash64("doc_id", "text") % 1_000_003 + 1_000_003) % 1_000_003 < F.col("odds") * 1_000_003)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

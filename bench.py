@@ -18,7 +18,7 @@ from tripleloom.sources import read_source
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINES = ["type_counts", "triple_count", "predicate_dist", "spot_lookup", "crosslink_distinct", "run_links", "seealso_unpivot", "nested_nodes", "turtle_blocks", "tsv_parse", "xml_extract", "field_fidelity", "shape_cardinality", "literal_escape"]
-RECORDS = 200_000
+RECORDS = 50_000
 
 
 def timed(work) -> float:

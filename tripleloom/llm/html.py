@@ -2,8 +2,8 @@
 
 A page is read once into a tree of elements with tolerant rules for tags that are left open. Parts
 that are never main text go by their element or by the words of their class, id and role. Of the
-other subtrees outside the article, those of which the hash recurs on many pages of the host are its
-template, and go too. Hashes are counted by host in Spark.
+other subtrees, in a marked article or not, those of which the hash recurs on many pages of the host
+are its template, and go too. Hashes are counted by host in Spark.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, stage
@@ -35,6 +35,8 @@ SCOPE = set("ul ol dl table select menu article section main div body td th".spl
 BOILERPLATE = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer masthead toolbar comment comments reply replies disqus respond related recommended share sharing social newsletter subscribe signup login search widget pagination pager skip tags contentinfo complementary dialog".split())
 #: Headers of the page; one inside an article belongs to it.
 HEADERS = {"header", "banner"}
+#: Elements that may recur in the text of different articles, such as a heading or a table's cell.
+PARTS = set("h1 h2 h3 h4 h5 h6 td th tr dt caption".split())
 MAIN = {"article", "main"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
@@ -42,6 +44,7 @@ _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true)|display\s*:\s*none""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+_DIGITS = re.compile(r"\d+")
 
 
 @dataclass(slots=True)
@@ -141,22 +144,54 @@ def _has_main(node: Node) -> bool:
     return False
 
 
-def subtree_hash(node: Node) -> int:
-    """A signed 64-bit hash of an element with all it holds, white space and digits alike."""
-    parts: list[str] = []
-    stack: list = [node]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            if text := _SPACE.sub(" ", entities.unescape(x)).strip():
-                parts.append(re.sub(r"\d+", "0", text))
-        else:
-            parts.append(f"<{x.tag}>")
-            stack += x.children[::-1]
-    h = xxhash.xxh64_intdigest("\0".join(parts).encode("utf-8", "replace"))
+@dataclass(slots=True)
+class Subtree:
+    """Hash and letters of an element with all it holds; ``size`` is the length of its text outside boilerplate."""
+
+    hash: int
+    lettered: bool
+    size: int
+
+
+def _signed(data: bytes) -> int:
+    h = xxhash.xxh64_intdigest(data)
     return h - (1 << 64) if h >> 63 else h
 
 
+def subtrees(root: Node, inside: bool) -> dict[int, Subtree]:
+    """By id(): every element under ``root``, hashed from its children's hashes; white space and digits alike."""
+    out: dict[int, Subtree] = {}
+    stack: list[tuple[Node, bool]] = [(root, False)]
+    while stack:
+        x, leaving = stack.pop()
+        if not leaving:
+            stack.append((x, True))
+            stack += [(c, False) for c in x.children if isinstance(c, Node)]
+            continue
+        parts, lettered, size = [f"<{x.tag}>".encode()], False, 0
+        for c in x.children:
+            if isinstance(c, str):
+                if text := _SPACE.sub(" ", entities.unescape(c)).strip():
+                    parts.append(_DIGITS.sub("0", text).encode("utf-8", "replace"))
+                    lettered = lettered or any(map(str.isalpha, text))
+                    size += len(text)
+            else:
+                sub = out[id(c)]
+                parts.append(b"\1" + sub.hash.to_bytes(8, "big", signed=True))
+                lettered, size = lettered or sub.lettered, size + sub.size
+        out[id(x)] = Subtree(_signed(b"\0".join(parts)), lettered, 0 if x is not root and is_boilerplate(x, inside) else size)
+    return out
+
+
+def may_be_template(node: Node, sub: Subtree, whole: Subtree, inside: bool) -> bool:
+    """Whether a subtree goes if it recurs. In a marked article, half of its text or more never does,
+    nor a heading or a table's cell by itself, nor what has no letters.
+    """
+    if node.tag not in BLOCK or node.tag in ("html", "body"):
+        return False
+    return not inside or (sub.lettered and 2 * sub.size < whole.size and node.tag not in PARTS)
+
+
 def _roots(page: str) -> list[Node]:
     """Where main text is looked for: the outermost articles, else the whole page."""
     root = parse(page)
@@ -187,20 +222,22 @@ def _outside(root: Node, wanted: list[Node]) -> list[Node]:
     return keep
 
 
-def template_hashes(page: str) -> list[int]:
-    """Hashes of the block subtrees that may be template: none where the page marks its article."""
-    roots = _roots(page)
-    if len(roots) != 1 or roots[0].tag:
-        return []
-    out, stack = set(), [roots[0]]
-    while stack:
-        x = stack.pop()
-        for c in x.children:
-            if isinstance(c, Node) and not is_boilerplate(c, False):
-                if c.tag in BLOCK and c.tag not in ("html", "body"):
-                    out.add(subtree_hash(c))
-                stack.append(c)
-    return sorted(out)
+def template_hashes(page: str) -> tuple[int, list[int]]:
+    """A hash of the page's text, and those of the block subtrees that may be template, inside marked articles too."""
+    out, texts = set(), []
+    for root in _roots(page):
+        inside = root.tag in MAIN
+        known = subtrees(root, inside)
+        whole, stack = known[id(root)], [root]
+        while stack:
+            for c in stack.pop().children:
+                if isinstance(c, str):
+                    texts.append(_DIGITS.sub("0", _SPACE.sub(" ", c).strip()))
+                elif not is_boilerplate(c, inside):
+                    if may_be_template(c, known[id(c)], whole, inside):
+                        out.add(known[id(c)].hash)
+                    stack.append(c)
+    return _signed("\0".join(filter(None, texts)).encode("utf-8", "replace")), sorted(out)
 
 
 def extract(page: str | None, template: set[int] | frozenset[int] = frozenset()) -> str:
@@ -218,6 +255,7 @@ def extract(page: str | None, template: set[int] | frozenset[int] = frozenset())
 
     for root in _roots(page):
         inside = root.tag in MAIN
+        known = subtrees(root, inside) if template else {}
         stack: list = [(root, False)]
         while stack:
             x, leaving = stack.pop()
@@ -232,7 +270,7 @@ def extract(page: str | None, template: set[int] | frozenset[int] = frozenset())
             if x is not root and is_boilerplate(x, inside):
                 flush() if block else line.append(" ")
                 continue
-            if template and block and x is not root and not inside and subtree_hash(x) in template:
+            if template and x is not root and known[id(x)].hash in template and may_be_template(x, known[id(x)], known[id(root)], inside):
                 flush()
                 continue
             if block:
@@ -245,39 +283,46 @@ def extract(page: str | None, template: set[int] | frozenset[int] = frozenset())
     return "\n\n".join(blocks)
 
 
+def _host() -> Column:
+    return F.coalesce(F.lower(F.regexp_extract("url", r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
+
+
 def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(page_id, hashes): for pages with template subtrees, the hashes to delete.
+    """(page_id, host, hashes): for pages with template subtrees, the hashes to delete.
 
-    A subtree counts once a page, and pages of a host are counted by (host, hash) with map-side sums.
+    A subtree counts once a page, pages of the same text count once, and pages of a host are
+    counted by (host, hash) with map-side sums.
     """
     rows = pages.select("page_id", "url", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [template_hashes(x) if x else [] for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], ["page_id", "url", "hashes"])
+            found = [template_hashes(x) if x else (0, []) for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.list_(pa.int64()))], ["page_id", "url", "body", "hashes"])
 
     kind = rows.schema["page_id"].dataType.simpleString()
-    seen = rows.mapInArrow(run, f"page_id {kind}, url string, hashes array<long>")
-    host = F.coalesce(F.lower(F.regexp_extract("url", r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
-    seen = stage(seen.select("page_id", host.alias("host"), "hashes"), "subtrees")
-    size = seen.groupBy("host").agg(F.count("*").alias("pages"))
-    each = seen.filter(F.size("hashes") > 0).select("page_id", "host", F.explode("hashes").alias("hash"))
-    often = each.groupBy("host", "hash").agg(F.count("*").alias("n")).join(size, "host").filter((F.col("n") >= least_pages) & (F.col("n") >= least_share * F.col("pages")))
-    return each.join(often.select("host", "hash"), ["host", "hash"]).groupBy("page_id").agg(F.collect_set("hash").alias("hashes"))
+    seen = rows.mapInArrow(run, f"page_id {kind}, url string, body long, hashes array<long>")
+    seen = stage(seen.select("page_id", _host().alias("host"), "body", "hashes"), "subtrees")
+    # copies of one text say nothing of the host's template
+    different = seen.dropDuplicates(["host", "body"])
+    size = different.groupBy("host").agg(F.count("*").alias("pages"))
+    counted = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
+    often = counted.join(size, "host").filter((F.col("n") >= least_pages) & (F.col("n") >= least_share * F.col("pages")))
+    each = seen.select("page_id", "host", F.explode("hashes").alias("hash"))
+    return each.join(often.select("host", "hash"), ["host", "hash"]).groupBy("page_id", "host").agg(F.collect_set("hash").alias("hashes"))
 
 
 def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages(page_id, url, html)``.
 
     A null or empty html, and a page without main text, give an empty text. Addresses that are null
-    or have no host share one host. Repeated page ids share the hashes to delete, which only ever
-    match their own subtrees. An empty table gives an empty result; other columns are ignored.
+    or have no host share one host. Repeated page ids of a host share the hashes to delete, which only
+    ever match their own subtrees. An empty table gives an empty result; other columns are ignored.
     """
     prepare(pages.sparkSession)
     rows = pages.select("page_id", "url", "html")
-    cut = templates(pages, least_pages, least_share).withColumnRenamed("page_id", "__page")
-    both = rows.join(cut, F.col("page_id").eqNullSafe(F.col("__page")), "left").select("page_id", "url", "html", "hashes")
+    cut = templates(pages, least_pages, least_share).withColumnsRenamed({"page_id": "__page", "host": "__host"})
+    both = rows.join(cut, F.col("page_id").eqNullSafe(F.col("__page")) & (_host() == F.col("__host")), "left").select("page_id", "url", "html", "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

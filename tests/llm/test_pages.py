@@ -118,3 +118,16 @@ def test_templates_inside_articles(spark):
     assert all(got[i] == f"Result\n\n{own[i]}\n\n{i}" for i in range(12))
     assert "A copied page keeps its lines" in got[100]
     assert len(html.template_hashes("<article>" + "<div>" * 3000 + "deep</article>")[1]) == 0
+
+
+def test_templates_of_a_section_and_of_small_hosts(spark):
+    menu = "<div><p>Menu of the section</p></div>"
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    page = lambda i, has: f"<body>{menu if has else ''}<div><p>Own text {word(i)}</p></div></body>"
+    rows = [(i, f"http://hot/{i}", page(i, i < 6)) for i in range(200)] + [(300, "http://hot/x", None)]
+    rows += [(400 + i, f"http://small/{i}", page(i, True)) for i in range(3)]
+    rows += [(500 + i, f"http://mixed/{i}", page(i, i < 4)) for i in range(5)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Own text {word(i)}" for i in range(200))
+    assert all(got[400 + i] == f"Own text {word(i)}" for i in range(3))
+    assert got[500] == "Menu of the section\n\nOwn text a"

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import prepare, stage
 
-#: A subtree is template if it is on so many pages of a host, and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 5, 0.2
+#: A subtree is template if it is on so many pages of a host, or on all pages of a host that has SMALL_HOST at least.
+LEAST_PAGES, SMALL_HOST = 5, 3
 
 # fixed values: elements by their role in a page
 VOID = set("area base br col embed frame hr img input link meta param source track wbr".split())
@@ -287,7 +287,7 @@ def _host() -> Column:
     return F.coalesce(F.lower(F.regexp_extract("url", r"(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(page_id, host, hashes): for pages with template subtrees, the hashes to delete.
 
     A subtree counts once a page, pages of the same text count once, and pages of a host are
@@ -307,12 +307,12 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     different = seen.dropDuplicates(["host", "body"])
     size = different.groupBy("host").agg(F.count("*").alias("pages"))
     counted = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
-    often = counted.join(size, "host").filter((F.col("n") >= least_pages) & (F.col("n") >= least_share * F.col("pages")))
+    often = counted.join(size, "host").filter((F.col("n") >= least_pages) | ((F.col("n") >= SMALL_HOST) & (F.col("n") == F.col("pages"))))
     each = seen.select("page_id", "host", F.explode("hashes").alias("hash"))
     return each.join(often.select("host", "hash"), ["host", "hash"]).groupBy("page_id", "host").agg(F.collect_set("hash").alias("hashes"))
 
 
-def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages(page_id, url, html)``.
 
     A null or empty html, and a page without main text, give an empty text. Addresses that are null
@@ -321,7 +321,7 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     """
     prepare(pages.sparkSession)
     rows = pages.select("page_id", "url", "html")
-    cut = templates(pages, least_pages, least_share).withColumnsRenamed({"page_id": "__page", "host": "__host"})
+    cut = templates(pages, least_pages).withColumnsRenamed({"page_id": "__page", "host": "__host"})
     both = rows.join(cut, F.col("page_id").eqNullSafe(F.col("__page")) & (_host() == F.col("__host")), "left").select("page_id", "url", "html", "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -167,3 +167,16 @@ def test_language(spark):
     none = langid.identify(df.withColumn("lang", df.lang.substr(100, 1)).filter("lang = 'none'"))
     assert none.count() == 0
     assert {r.lang_pred for r in langid.identify(spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")).collect()} == {"und"}
+
+
+def test_quality_judges_small_groups(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.randrange(1, 9))) for _ in range(500)]
+    prose = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(40, 300)))
+    junk = "".join(w + "###*** " for w in prose().split())
+    rows = [(i, prose(), "en", f"s{i % 20}") for i in range(120)] + [(200, junk, "en", "s1"), (201, junk, "de", "few"), (202, prose(), "de", "few"), (203, junk, None, None)]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert sum(not got[i].kept for i in range(120)) <= 2 and got[202].kept
+    assert not any(got[i].kept for i in (200, 201, 203)) and all(r.distance is not None for r in got.values())
+    few = quality.quality(spark.createDataFrame(rows[:8] + rows[120:121], "doc_id long, text string, lang string, source string")).collect()
+    assert [r.doc_id for r in few if not r.kept] == [200]

@@ -4,6 +4,7 @@ Everything is DataFrame and SQL functions. Each (lang, source) gets a minimum-co
 estimate of centre and scatter of the transformed statistics: from medians and median absolute
 deviations, concentration steps refit mean and covariance on the fraction of rows with the smallest
 distances. Steps are aggregations by group, combined map-side, so a group may hold any share of rows.
+Groups of few rows are judged by the estimate of their language, or of all rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ WINDOW = 8
 #: Least standard deviations of the transformed statistics: below them a difference means nothing.
 FLOORS = {"f_words": 1.0, "f_length": 0.1, "f_symbols": 0.1, "f_lines": 0.5, "f_repeats": 0.15}
 FEATURES = list(FLOORS)
-#: Rows that a group needs for an estimate, the fraction that estimates rest on, their steps.
+#: Groups of estimates: by language and source, by language (level 1), of all rows (level 2).
+KEY = ["level", "lang", "source"]
+#: Rows that a group needs for an estimate of its own, the fraction that estimates rest on, their steps.
 LEAST_ROWS, KEPT_SHARE, STEPS = 40, 0.75, 3
 #: Quantile 0.99999 of chi-square with 5 degrees of freedom, and its median.
 CUTOFF, MEDIAN = 30.856, 4.351
@@ -82,9 +85,9 @@ def _transformed(stats: DataFrame) -> DataFrame:
 
 
 def _with(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """rows with the columns of their group; null keys are a group of their own."""
-    g = groups.withColumnsRenamed({"lang": "__lang", "source": "__source"})
-    return rows.join(g, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source"))).drop("__lang", "__source")
+    """rows with the columns of their group of a level; null keys are a group of their own."""
+    g = groups.withColumnsRenamed({k: f"__{k}" for k in KEY})
+    return rows.join(g, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEY])).drop(*[f"__{k}" for k in KEY])
 
 
 def _factor(scatter: DataFrame) -> DataFrame:
@@ -96,7 +99,7 @@ def _factor(scatter: DataFrame) -> DataFrame:
             value = F.sqrt(F.greatest(inner, F.lit(FLOORS[a] ** 2))) if i == j else inner / F.col(f"l_{b}_{b}")
             out = out.withColumn(f"l_{a}_{b}", value)
     keep = [f"m_{a}" for a in FEATURES] + [f"l_{a}_{b}" for i, a in enumerate(FEATURES) for b in FEATURES[: i + 1]]
-    return out.select("lang", "source", *keep)
+    return out.select(*KEY, *keep)
 
 
 def _distances(rows: DataFrame, fit: DataFrame) -> DataFrame:
@@ -112,10 +115,32 @@ def _quantile(column, share: float) -> Column:
     return F.percentile_approx(column, F.lit(share), F.lit(10000))
 
 
+def _pooled(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows with those that stand for small groups, and (lang, source, __level, __key_lang, __key_source).
+
+    A group of under LEAST_ROWS rows is judged by the estimate of its language (level 1), and if that
+    has as few, of all rows (level 2); the rows of a level are added once, under keys of their own.
+    """
+    n = stage(rows.groupBy("lang", "source").agg(F.count("*").alias("n")), "sizes")
+    langs = n.groupBy(F.col("lang").alias("__l")).agg(F.sum("n").alias("of_lang"))
+    sized = n.join(langs, F.col("lang").eqNullSafe(F.col("__l")))
+    level = F.when(F.col("n") >= LEAST_ROWS, 0).when(F.col("of_lang") >= LEAST_ROWS, 1).otherwise(2)
+    null = F.lit(None).cast("string")
+    uses = stage(sized.select("lang", "source", level.alias("__level")), "uses").select("lang", "source", "__level", F.when(F.col("__level") < 2, F.col("lang")).otherwise(null).alias("__key_lang"), F.when(F.col("__level") < 1, F.col("source")).otherwise(null).alias("__key_source"))
+    out = rows.withColumn("level", F.lit(0))
+    needed = uses.filter("__level = 1").select(F.col("lang").alias("__l")).distinct()
+    out = out.unionByName(rows.join(needed, F.col("lang").eqNullSafe(F.col("__l")), "left_semi").withColumns({"source": null, "level": F.lit(1)}))
+    if not uses.filter("__level = 2").isEmpty():
+        out = out.unionByName(rows.withColumns({"lang": null, "source": null, "level": F.lit(2)}))
+    return stage(out, "levels"), uses
+
+
 def estimate(rows: DataFrame) -> DataFrame:
-    """Centre, factor and consistency ``scale`` of every group of at least LEAST_ROWS rows."""
-    key = ["lang", "source"]
-    centre = stage(rows.groupBy(*key).agg(F.count("*").alias("n"), *[_quantile(a, 0.5).alias(f"m_{a}") for a in FEATURES]).filter(F.col("n") >= LEAST_ROWS), "centre")
+    """Centre, factor and consistency ``scale`` for every (lang, source): its own, its language's or that of all rows."""
+    rows, uses = _pooled(rows)
+    key = KEY
+    enough = (F.col("level") == 2) | (F.col("n") >= LEAST_ROWS)
+    centre = stage(rows.groupBy(*key).agg(F.count("*").alias("n"), *[_quantile(a, 0.5).alias(f"m_{a}") for a in FEATURES]).filter(enough), "centre")
     spread = _with(rows, centre).groupBy(*key).agg(*[F.first(f"m_{a}").alias(f"m_{a}") for a in FEATURES], *[_quantile(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5).alias(f"s_{a}") for a in FEATURES])
     diagonal = {f"c_{a}_{b}": F.pow(1.4826 * F.col(f"s_{a}"), F.lit(2)) if a == b else F.lit(0.0) for i, a in enumerate(FEATURES) for b in FEATURES[: i + 1]}
     fit = stage(_factor(spread.withColumns(diagonal)), "fit")
@@ -126,15 +151,17 @@ def estimate(rows: DataFrame) -> DataFrame:
         moments = [F.avg(a).alias(f"m_{a}") for a in FEATURES] + [F.covar_pop(a, b).alias(f"c_{a}_{b}") for i, a in enumerate(FEATURES) for b in FEATURES[: i + 1]]
         fit = stage(_factor(near.groupBy(*key).agg(*moments)), "fit")
     scale = _distances(rows, fit).groupBy(*key).agg(F.greatest(F.lit(1.0), _quantile("d", 0.5) / MEDIAN).alias("scale"))
-    return stage(_with(fit, scale), "estimate")
+    found = stage(_with(fit, scale), "estimate").withColumnsRenamed({"level": "__l", "lang": "__lang", "source": "__source"})
+    same = (F.col("__level") == F.col("__l")) & F.col("__key_lang").eqNullSafe(F.col("__lang")) & F.col("__key_source").eqNullSafe(F.col("__source"))
+    return uses.join(found, same).drop("__level", "__key_lang", "__key_source", "__l", "__lang", "__source")
 
 
 def quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """(doc_id, n_words, the four statistics, base_failed, kept) for every row of docs(doc_id, text, lang, source).
 
     Null and empty texts have no words and fail the base rules. Null languages and sources are
-    groups of their own; a group of under LEAST_ROWS rows that pass the base rules has no estimate,
-    and its rows are kept. Repeated rows count as often as they occur. Statistics that don't vary in
+    groups of their own; a group of under LEAST_ROWS rows that pass the base rules is judged by the
+    estimate of its language, and if that has as few, by that of all rows. Repeated rows count as often as they occur. Statistics that don't vary in
     a group get the floors of FLOORS. An empty table gives an empty result; other columns are ignored.
     """
     stats = stage(statistics(docs), "stats")
@@ -146,5 +173,5 @@ def quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
         inner = reduce(lambda s, b: s - F.col(f"l_{a}_{b}") * F.col(f"y_{b}"), FEATURES[:i], F.col(a) - F.col(f"m_{a}"))
         out = out.withColumn(f"y_{a}", inner / F.col(f"l_{a}_{a}"))
     distance = sum((F.col(f"y_{a}") * F.col(f"y_{a}") for a in FEATURES), F.lit(0.0)) / F.col("scale")
-    kept = ~F.col("base_failed") & F.coalesce(distance <= cutoff, F.lit(True))
+    kept = ~F.col("base_failed") & (distance <= cutoff)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), distance.alias("distance"))

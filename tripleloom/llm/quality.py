@@ -20,15 +20,15 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-#: Least standard deviations of the transformed statistics: below them a difference means nothing.
-FLOORS = {"f_words": 1.0, "f_length": 0.1, "f_symbols": 0.1, "f_lines": 0.5, "f_repeats": 0.15}
-FEATURES = list(FLOORS)
+FEATURES = ["f_words", "f_length", "f_symbols", "f_lines", "f_repeats"]
+#: Spread of the length of words, as a share of their mean.
+WORD_SPREAD = 0.5
 #: Groups of estimates: by language and source, by language (level 1), of all rows (level 2).
 KEY = ["level", "lang", "source"]
 #: Rows that a group needs for an estimate of its own, the fraction that estimates rest on, their steps.
 LEAST_ROWS, KEPT_SHARE, STEPS = 40, 0.75, 3
-#: Quantile 0.99999 of chi-square with 5 degrees of freedom, and its median.
-CUTOFF, MEDIAN = 30.856, 4.351
+#: Quantile 0.99999 of chi-square with 1 to 5 degrees of freedom, and its median.
+CUTOFFS, MEDIANS = [19.511, 23.026, 25.902, 28.473, 30.856], [0.455, 1.386, 2.366, 3.357, 4.351]
 
 
 def let(value: Column, use) -> Column:
@@ -90,25 +90,55 @@ def _with(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(g, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEY])).drop(*[f"__{k}" for k in KEY])
 
 
+def _resolution(words: Column, length: Column) -> dict[str, Column]:
+    """What one unit of measurement makes of each feature in a text of ``words`` words of mean log length ``length``.
+
+    Twice the words; the sampling error of the mean length; one symbol; one repeated line; one repeated window.
+    """
+    n = F.greatest(words, F.lit(1.0))
+    return {"f_words": F.log(F.lit(2.0)), "f_length": WORD_SPREAD / F.sqrt(n), "f_symbols": 1 / F.sqrt(F.greatest(n * F.exp(length), F.lit(1.0))), "f_lines": F.log(F.lit(2.0)), "f_repeats": F.sqrt(WINDOW / n)}
+
+
 def _factor(scatter: DataFrame) -> DataFrame:
-    """Centre m_i and inverse-ready Cholesky factor l_i_j of the scatter, its diagonal held above the floors."""
-    out = scatter
+    """Centre m_i, inverse-ready Cholesky factor l_i_j of the scatter, and its effective degrees of freedom.
+
+    Conditional deviations are held above the resolution of measurement at the group's centre; a
+    feature that varies less than that counts as the share of a degree that its variance is of it.
+    """
+    least = _resolution(F.expm1("m_f_words"), F.col("m_f_length"))
+    dof = sum((F.least(F.lit(1.0), F.col(f"c_{a}_{a}") / (least[a] * least[a])) for a in FEATURES), F.lit(0.0))
+    out = scatter.withColumn("dof", dof)
     for i, a in enumerate(FEATURES):
         for j, b in enumerate(FEATURES[: i + 1]):
             inner = reduce(lambda s, k: s - F.col(f"l_{a}_{k}") * F.col(f"l_{b}_{k}"), FEATURES[:j], F.col(f"c_{a}_{b}"))
-            value = F.sqrt(F.greatest(inner, F.lit(FLOORS[a] ** 2))) if i == j else inner / F.col(f"l_{b}_{b}")
+            value = F.sqrt(F.greatest(inner, least[a] * least[a])) if i == j else inner / F.col(f"l_{b}_{b}")
             out = out.withColumn(f"l_{a}_{b}", value)
     keep = [f"m_{a}" for a in FEATURES] + [f"l_{a}_{b}" for i, a in enumerate(FEATURES) for b in FEATURES[: i + 1]]
-    return out.select(*KEY, *keep)
+    return out.select(*KEY, *keep, "dof")
 
 
-def _distances(rows: DataFrame, fit: DataFrame) -> DataFrame:
-    """rows with ``d``, the squared Mahalanobis distance, by forward substitution."""
-    out = _with(rows, fit)
+def _squared(wide: DataFrame) -> DataFrame:
+    """wide with ``d``, the squared Mahalanobis distance, by forward substitution; no deviation is below the row's own resolution."""
+    own = _resolution(F.expm1("f_words"), F.col("f_length"))
+    own["f_symbols"] = own["f_symbols"] / 2  # the square root of a count deviates by a half
+    out = wide
     for i, a in enumerate(FEATURES):
         inner = reduce(lambda s, b: s - F.col(f"l_{a}_{b}") * F.col(f"y_{b}"), FEATURES[:i], F.col(a) - F.col(f"m_{a}"))
-        out = out.withColumn(f"y_{a}", inner / F.col(f"l_{a}_{a}"))
-    return out.withColumn("d", sum((F.col(f"y_{a}") * F.col(f"y_{a}") for a in FEATURES), F.lit(0.0))).select(*rows.columns, "d")
+        out = out.withColumn(f"y_{a}", inner / F.greatest(F.col(f"l_{a}_{a}"), own[a]))
+    return out.withColumn("d", sum((F.col(f"y_{a}") * F.col(f"y_{a}") for a in FEATURES), F.lit(0.0)))
+
+
+def _distances(rows: DataFrame, fit: DataFrame) -> DataFrame:
+    """rows with their squared distance ``d``."""
+    return _squared(_with(rows, fit)).select(*rows.columns, "d")
+
+
+def _by_dof(values: list[float]) -> Column:
+    """The value for the degrees of freedom, 1 at least, linear between whole ones."""
+    dof = F.greatest(F.lit(1.0), F.least(F.col("dof"), F.lit(float(len(values)))))
+    low = F.floor(dof).cast("int")
+    at = lambda i: F.get(F.array(*map(F.lit, values)), i)
+    return at(low - 1) + (dof - low) * (F.coalesce(at(low), at(low - 1)) - at(low - 1))
 
 
 def _quantile(column, share: float) -> Column:
@@ -150,28 +180,30 @@ def estimate(rows: DataFrame) -> DataFrame:
         near = _with(far, edge).filter("d <= edge")
         moments = [F.avg(a).alias(f"m_{a}") for a in FEATURES] + [F.covar_pop(a, b).alias(f"c_{a}_{b}") for i, a in enumerate(FEATURES) for b in FEATURES[: i + 1]]
         fit = stage(_factor(near.groupBy(*key).agg(*moments)), "fit")
-    scale = _distances(rows, fit).groupBy(*key).agg(F.greatest(F.lit(1.0), _quantile("d", 0.5) / MEDIAN).alias("scale"))
-    found = stage(_with(fit, scale), "estimate").withColumnsRenamed({"level": "__l", "lang": "__lang", "source": "__source"})
+    median = _distances(rows, fit).groupBy(*key).agg(_quantile("d", 0.5).alias("median"))
+    # where nothing varies beyond its resolution, the resolution is the scale
+    scale = F.when((F.col("dof") >= 1) & (F.col("median") > 0), F.col("median") / _by_dof(MEDIANS)).otherwise(1.0)
+    found = stage(_with(fit, median).withColumn("scale", scale).drop("median"), "estimate").withColumnsRenamed({"level": "__l", "lang": "__lang", "source": "__source"})
     same = (F.col("__level") == F.col("__l")) & F.col("__key_lang").eqNullSafe(F.col("__lang")) & F.col("__key_source").eqNullSafe(F.col("__source"))
     return uses.join(found, same).drop("__level", "__key_lang", "__key_source", "__l", "__lang", "__source")
 
 
-def quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+def quality(docs: DataFrame, cutoff: float | None = None) -> DataFrame:
     """(doc_id, n_words, the four statistics, base_failed, kept) for every row of docs(doc_id, text, lang, source).
 
     Null and empty texts have no words and fail the base rules. Null languages and sources are
     groups of their own; a group of under LEAST_ROWS rows that pass the base rules is judged by the
     estimate of its language, and if that has as few, by that of all rows. Repeated rows count as often as they occur. Statistics that don't vary in
-    a group get the floors of FLOORS. An empty table gives an empty result; other columns are ignored.
+    a group are measured by their resolution; without ``cutoff`` the limit is the 0.99999 quantile for
+    the group's effective degrees of freedom. An empty table gives an empty result; other columns are ignored.
     """
     stats = stage(statistics(docs), "stats")
     rows = _transformed(stats)
     fit = estimate(rows.filter(~F.col("base_failed")).select("lang", "source", *FEATURES))
     wide = fit.withColumnsRenamed({"lang": "__lang", "source": "__source"})
     out = rows.join(wide, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
-    for i, a in enumerate(FEATURES):
-        inner = reduce(lambda s, b: s - F.col(f"l_{a}_{b}") * F.col(f"y_{b}"), FEATURES[:i], F.col(a) - F.col(f"m_{a}"))
-        out = out.withColumn(f"y_{a}", inner / F.col(f"l_{a}_{a}"))
-    distance = sum((F.col(f"y_{a}") * F.col(f"y_{a}") for a in FEATURES), F.lit(0.0)) / F.col("scale")
-    kept = ~F.col("base_failed") & (distance <= cutoff)
+    out = _squared(out)
+    distance = F.col("d") / F.col("scale")
+    limit = _by_dof(CUTOFFS) if cutoff is None else F.lit(cutoff)
+    kept = ~F.col("base_failed") & (distance <= limit)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), distance.alias("distance"))

@@ -158,3 +158,16 @@ def test_pipeline(spark):
         assert (r.text == r.before) == (not found) and r.n_chars == len(r.text)
         assert not any(r.before[a:b] in r.text for a, b, _, _ in found)
     assert steps["tokens"](spark, four, sf).count() == four.count() == corpus_pipeline.run(spark, sf).count()
+
+
+def test_decontamination_among_repeated_words(spark):
+    rng = random.Random(12)
+    items, words = passages(rng, 60, 3, 20)
+    fill = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    docs = [(1000 + k, fill(200)) for k in range(300)]
+    for k, x in enumerate(items):
+        w = rng.choice(words)
+        docs += [(2 * k, f"{f'{w} ' * 60}{x} {f'{w} ' * 60}"), (2 * k + 1, f"{fill(100)} {x} {fill(100)}")]
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    missing = {(2 * k + j, k) for k in range(60) for j in range(2)} - got
+    assert not missing

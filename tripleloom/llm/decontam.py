@@ -5,7 +5,8 @@ gives a latent space: every task multiplies its passages' counts by a fixed rand
 and counts document frequencies beside it; sums are added up in Spark, and the small rest is solved
 on the driver by the Nystroem formula. That formula holds for any probe, so the frequencies, known
 only after the pass, may scale the probe and its image afterwards. In that space, scaled to unit variance, windows of every document are compared
-with the benchmark's items by cosine. Candidates are then checked on their words: longest common
+with the benchmark's items by cosine. Further candidates stand where a text and an item have
+a few words in a row in common, so that what repeated words around it hide from the cosine is found too. Candidates are then checked on their words: longest common
 subsequence with the item, and, for paraphrases, with the item's answer.
 """
 
@@ -30,8 +31,8 @@ BUCKETS, DIMENSIONS, SPARE = 1 << 12, 84, 12
 WINDOWS = (16, 32, 64)
 #: Least cosine of a candidate, least common subsequence of a copy, and of a paraphrase and its answer.
 COSINE, COPY, PARAPHRASE, ANSWER = 0.4, 0.8, 0.6, 0.8
-#: Items under so many words must occur word by word.
-SHORT = 8
+#: Items under so many words must occur word by word; longer ones are also looked for by so many words in a row.
+SHORT, GRAM = 8, 4
 #: Words of passages that the space is made from; words that are handled at once.
 PASSAGE, PART = 64, 10_000
 #: Items that are sent to executors at once; more go in several searches.
@@ -66,20 +67,33 @@ def words_of(text: str | None) -> list[bytes]:
     return _WORD.findall(folded(text))
 
 
-def buckets_of(data: bytes) -> np.ndarray:
-    """The bucket of every word of a folded text, by polynomial hashes from prefix sums."""
+def hashes_of(data: bytes) -> np.ndarray:
+    """A 64-bit hash of every word of a folded text, by polynomial hashes from prefix sums."""
     if len(data) >= _ROOM:
         cut = max(data.rfind(b" ", 0, _ROOM - 1), data.rfind(b"\n", 0, _ROOM - 1))
         cut = cut if cut > 0 else _ROOM - 1
-        return np.concatenate((buckets_of(data[:cut]), buckets_of(data[cut:])))
+        return np.concatenate((hashes_of(data[:cut]), hashes_of(data[cut:])))
     a = np.frombuffer(data, np.uint8)
     edge = np.flatnonzero(np.diff(_IN_WORD[a].view(np.int8), prepend=0, append=0))
     start, end = edge[0::2], edge[1::2]
     total = np.zeros(len(a) + 1, np.uint64)
     np.cumsum((a + np.uint64(1)) * _DOWN[: len(a)], out=total[1:])
     h = (total[end] - total[start]) * _UP[start]
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(52)).astype(np.int64)
+    return (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def buckets_of(data: bytes) -> np.ndarray:
+    """The bucket of every word of a folded text."""
+    return (hashes_of(data) >> np.uint64(52)).astype(np.int64)
+
+
+def grams(h: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` words in a row of a text's word hashes."""
+    n = max(0, len(h) - size + 1)
+    out = h[:n].copy()
+    for k in range(1, size):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(_MULTIPLIER) + h[k : n + k]
+    return out
 
 
 def lcs(masks: dict, size: int, words: list) -> int:
@@ -209,6 +223,13 @@ class Searcher:
             hashed = buckets_of(b" ".join(x.words))
             self.has[i, hashed] = True
             self.hashed.append(masks_of(hashed.tolist()))
+        exact: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        for i, x in enumerate(items):
+            h = hashes_of(b" ".join(x.words))
+            size = min(len(h), GRAM if len(h) >= SHORT else SHORT)
+            for at, g in enumerate(grams(h, size).tolist()):
+                exact.setdefault(size, {}).setdefault(g, []).append((i, at))
+        self.exact = [(size, known, self._sieve(known)) for size, known in exact.items()]
         self.queries = {w: ([], []) for w in WINDOWS}
         for i, x in enumerate(items):
             for at in range(0, len(x.words), WINDOWS[-1]):
@@ -264,6 +285,34 @@ class Searcher:
             for a, b, r in zip(at.tolist(), q.tolist(), row.tolist(), strict=True):
                 yield r, a * step - int(begins[r]), *places[b], float(near[a, b] / norm[a])
 
+    @staticmethod
+    def _sieve(known: dict) -> np.ndarray:
+        out = np.zeros(1 << 20, bool)
+        out[np.array(list(known), np.uint64) >> np.uint64(44)] = True
+        return out
+
+    def in_a_row(self, h: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(first word, item) where the item would begin, by the words in a row that a text has in common with an item.
+
+        Of short items, all of the words; of longer ones, one finding for each shift by a few words.
+        """
+        for size, known, sieve in self.exact:
+            g = grams(h, size)
+            seen = set()
+            for at in np.flatnonzero(sieve[g >> np.uint64(44)]).tolist():
+                for i, place in known.get(int(g[at]), ()):
+                    # a text that repeats an item's words has them again in every window of it
+                    key = (i, (at - place) // SHORT, at // WINDOWS[-1]) if self.sizes[i] >= SHORT else i
+                    if key not in seen:
+                        seen.add(key)
+                        yield at - place, i
+
+    def cosine(self, first: int, i: int, b: np.ndarray) -> float:
+        """Cosine of a text's words from ``first`` on with the item, or its first part."""
+        part = self.items[i].words[: WINDOWS[-1]]
+        v = self.space.project[b[first : first + len(part)]].sum(axis=0)
+        return float(v @ self.space.place(part) / (np.linalg.norm(v) or 1))
+
     def check(self, words: list[bytes], first: int, i: int, place: int) -> tuple[float, float] | None:
         """Common subsequences with the item and its answer near a window, None if the text does not hold the item."""
         item, masks = self.items[i], self.masks[i]
@@ -284,13 +333,13 @@ class Searcher:
         overlap = max((len(x.words) for x in self.items), default=0) + 2 * WINDOWS[-1]
         for held in self._held(texts, overlap):
             words: dict[int, list[bytes]] = {}
-            for k, first, i, place, cosine in self.candidates([x[2] for x in held]):
-                row, base, b = held[k]
+            for k, first, i, place, cosine in self._all([(h >> np.uint64(52)).astype(np.int64) for _, _, h in held], [x[2] for x in held]):
+                row, base, h = held[k]
                 old = best.get((row, i))
                 if old and old[2] >= 1.0:
                     continue
                 at, end = self.region(first, i, place)
-                near = b[at:end]
+                near = (h[at:end] >> np.uint64(52)).astype(np.int64)
                 size = len(self.items[i].words)
                 # equal words have equal buckets: what fails on buckets fails on words
                 if lcs(self.hashed[i], size, near[self.has[i, near]].tolist()) < PARAPHRASE * size:
@@ -299,16 +348,26 @@ class Searcher:
                     words[row] = words_of(texts[row])
                 found = self.check(words[row], base + first, i, place)
                 if found and (old is None or found[0] > old[2]):
+                    if cosine is None:
+                        first = max(0, first)
+                        cosine = self.cosine(first, i, (h >> np.uint64(52)).astype(np.int64))
                     best[row, i] = (i, cosine, *found, base + first)
         for (row, _), x in best.items():
             yield row, *x
 
+    def _all(self, rows: list[np.ndarray], hashes: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, float | None]]:
+        """Candidates by cosine, then those by words in a row, without a cosine."""
+        yield from self.candidates(rows)
+        for k, h in enumerate(hashes):
+            for first, i in self.in_a_row(h):
+                yield k, first, i, 0, None
+
     @staticmethod
     def _held(texts: list[str | None], overlap: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
-        """(row, first word, buckets) of texts or their parts, about PART words at once."""
+        """(row, first word, hashes) of texts or their parts, about PART words at once."""
         held, size = [], 0
         for row, text in enumerate(texts):
-            b = buckets_of(folded(text))
+            b = hashes_of(folded(text))
             for base in range(0, len(b), PART):
                 held.append((row, base, b[base : base + PART + overlap]))
                 size += len(held[-1][2])

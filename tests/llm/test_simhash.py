@@ -110,3 +110,11 @@ def test_components_of_paths_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (200, 199), (200, 199)]
     got = {r.v: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {199: 199, 200: 199}
+
+
+def test_keep_first_keeps_a_row_of_every_component(spark):
+    texts = [" ".join(f"w{k * 50 + j}" for j in range(40)) for k in range(6)]
+    rows = [(None, texts[0], "x"), (None, texts[1], "x"), (None, texts[2], "x"), (7, texts[3], "x"), (7, texts[4], "y"), (None, texts[3], "x"), (8, texts[5], "a"), (8, texts[5], "a"), (8, texts[5], "b")]
+    got = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert got.columns == ["doc_id", "text", "lang"]
+    assert sorted((r.text, r.doc_id or 0) for r in got.collect()) == sorted(zip(texts, [0, 0, 0, 7, 7, 8], strict=True))

@@ -229,6 +229,13 @@ def links(fps: DataFrame, budget: int = 3, subtree_rows: int = SUBTREE_ROWS) ->
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _components(fps: DataFrame, budget: int, subtree_rows: int) -> DataFrame:
+    """(fp, least, root) of every different fingerprint of ``fps(doc_id, fp)``; least is its smallest doc_id."""
+    classes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    roots = components(links(classes.select("fp"), budget, subtree_rows)).select(F.col("v").alias("fp"), "root")
+    return classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, budget: int = 3, width: int = 3, subtree_rows: int = SUBTREE_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs(doc_id, text)``.
 
@@ -237,16 +244,24 @@ def near_duplicates(docs: DataFrame, budget: int = 3, width: int = 3, subtree_ro
     of the component are null. An empty table gives an empty result; other columns are ignored.
     """
     fps = stage(fingerprints(docs, width), "fps")
-    classes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes.select("fp"), budget, subtree_rows)).select(F.col("v").alias("fp"), "root")
-    rooted = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _components(fps, budget, subtree_rows)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     known = rooted.join(least, "root").select("fp", "component_id")
     return fps.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, budget: int = 3, width: int = 3) -> DataFrame:
-    """docs without the rows whose component holds a smaller doc_id; of equal rows one stays."""
-    firsts = near_duplicates(docs, budget, width).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(firsts.withColumnRenamed("doc_id", "__first"), F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of docs for every component: the smallest by doc_id (null last), fingerprint, text and the other columns.
+
+    Rows are told apart by doc_id and a digest of the text and the whole row, so those that share an
+    id, or have none, stay if they are in different components; of rows equal in all one stays.
+    """
+    row = F.concat_ws(":", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256), F.hex(F.xxhash64(*docs.columns)))
+    keyed = docs.withColumn("__row", row)
+    fps = stage(fingerprints(keyed.select(F.struct("doc_id", "__row").alias("doc_id"), "text"), width).select("doc_id.doc_id", "doc_id.__row", "fp"), "fps")
+    rooted = _components(fps.select("doc_id", "fp"), budget, SUBTREE_ROWS).select("fp", "root")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "__row")
+    by_print = fps.groupBy("fp").agg(F.min(order).alias("first"))
+    firsts = by_print.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__first"), F.col("first.__row").alias("__key"))
+    kept = keyed.join(firsts, F.col("doc_id").eqNullSafe(F.col("__first")) & (F.col("__row") == F.col("__key")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__row"]).drop("__row")

@@ -232,3 +232,12 @@ def test_stream(spark, dumps, tmp_path):
         append_triples(stream_sra(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert {r["class"].rsplit("/", 1)[-1]: r.n for r in graph.type_counts(got).collect()} == {"Run": 2, "Analysis": 1, "Study": 1}
+
+
+def test_validate_lists_every_error(spark, tmp_path):
+    from tripleloom.operators.validate import validate
+
+    path = tmp_path / "broken.nt"
+    path.write_text("".join(f"<s{i}> <p> <o>\n" for i in range(2500)))
+    report = validate(spark, str(path), "sra")
+    assert len(report.errors) == 2500 and report.errors[-1].endswith("line 2500: does not end with ' .'")

@@ -187,7 +187,7 @@ def test_quality_rejects_separators_in_clean_groups(spark):
     words = ["".join(rng.choice("abcdefg") for _ in range(rng.randrange(1, 9))) for _ in range(500)]
     prose = lambda n: [rng.choice(words) for _ in range(n)]
     rows = [(i, " ".join(prose(rng.randrange(30, 600))), "en", "s") for i in range(150)]
-    rows += [(200 + i, " | ".join(prose(rng.randrange(60, 300))), "en", "s") for i in range(5)]
+    rows += [(200 + i, " ".join(w + " |" * (k % 2) for k, w in enumerate(prose(rng.randrange(60, 300)))), "en", "s") for i in range(5)]
     rows += [(300, " ".join(prose(200)) + " R & D & more", "en", "s")]
     got = {r.doc_id: r.kept for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert sum(not got[i] for i in range(150)) <= 1 and got[300]

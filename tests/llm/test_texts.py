@@ -67,17 +67,12 @@ def brute_repeats(texts, length, keep_first=False):
     return gone
 
 
-@pytest.mark.parametrize("hot", [2000, 2])
-@pytest.mark.parametrize("keep_first", [False, True])
-def test_suffix_dedup(spark, hot, keep_first):
-    rng = random.Random(4)
-    base = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(10, 90))) for _ in range(20)]
-    docs = ["".join(rng.choice(base) for _ in range(rng.randrange(4))) + "".join(rng.choice("xyz") for _ in range(rng.randrange(30))) for _ in range(80)]
-    docs += ["a" * 100, "ab" * 60, "", None, "short"]
+def check_suffix(spark, docs, length, **options):
+    keep_first = options.get("keep_first", False)
     df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(docs)], "doc_id long, text string, row int")
     data = [(t or "").encode() for t in docs]
-    gone = brute_repeats(data, 20, keep_first)
-    rows = {r.doc_id: r for r in suffix.remove_repeats(df, 20, hot, keep_first).collect()}
+    gone = brute_repeats(data, length, keep_first)
+    rows = {r.doc_id: r for r in suffix.remove_repeats(df, length, **options).collect()}
     for i, t in enumerate(data):
         kept = bytes(c for k, c in enumerate(t) if k not in gone[i])
         spans = sum(k - 1 not in gone[i] for k in gone[i])
@@ -85,6 +80,40 @@ def test_suffix_dedup(spark, hot, keep_first):
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept), r.kept_sha256) == (len(t), len(gone[i]), spans, kept, hashlib.sha256(kept).hexdigest())
 
 
+@pytest.mark.parametrize("most", [2000, 2])
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_suffix_dedup(spark, most, keep_first):
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(10, 90))) for _ in range(20)]
+    docs = ["".join(rng.choice(base) for _ in range(rng.randrange(4))) + "".join(rng.choice("xyz") for _ in range(rng.randrange(30))) for _ in range(80)]
+    docs += ["a" * 100, "ab" * 60, "a" * 30 + "b" + "a" * 30, "abcab" * 20, "", None, "short"]
+    check_suffix(spark, docs, 20, most=most, keep_first=keep_first)
+
+
+@pytest.mark.parametrize("most", [2000, 3])
+def test_suffix_passages_and_periods(spark, most):
+    """Passages that many documents share, at random places, and periods longer and shorter than an anchor."""
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = [letters(70), letters(41), letters(150)]
+    docs = [letters(rng.randrange(60)) + shared[i % 3][rng.randrange(5) :] + letters(rng.randrange(60)) for i in range(60)]
+    for period in (1, 2, 7, 9, 11, 25, 39, 40, 41):
+        unit = letters(period)
+        docs.append((unit * (300 // period))[: 200 + period])
+    docs.append("q" * 500 + "r" + "q" * 300)
+    check_suffix(spark, docs, 40, most=most)
+    check_suffix(spark, docs, 40, most=most, keep_first=True)
+
+
+def test_suffix_long_texts(spark):
+    rng = np.random.default_rng(5)
+    noise = rng.integers(97, 123, 5_000_000, np.uint8).tobytes().decode()
+    docs = [noise, "x" * 2_000_000, noise[1_200_000:1_200_900] + "tail", "abcdefg" * 100_000]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix.remove_repeats(df, with_kept=False).collect()}
+    assert got == {0: (900, 1), 1: (2_000_000, 1), 2: (900, 1), 3: (700_000, 1)}
+
+
 def test_suffix_repeated_ids(spark):
     df = spark.createDataFrame([(None, "q" * 30), (1, "abcdefghij" * 3), (1, "x" + "abcdefghij" * 3)], "doc_id long, text string")
     rows = sorted((r.n_bytes, r.n_removed) for r in suffix.remove_repeats(df, 25, with_kept=False).collect())
@@ -93,12 +122,26 @@ def test_suffix_repeated_ids(spark):
 
 
 def test_longest_previous_factor():
-    text = np.frombuffer(b"abaabababbabbb", np.uint8)
-    order, levels = suffix.suffix_array(text, 16)
-    lcp = suffix.adjacent_lcp(order, levels, len(text))
-    s = bytes(text)
-    want = [max((k for j in range(i) for k in range(1, len(s) - i + 1) if s[i : i + k] == s[j : j + k]), default=0) for i in range(len(s))]
-    assert suffix.previous_factor(order, lcp).tolist() == want
+    s = b"abaabababbabbb"
+    order = sorted(range(len(s)), key=lambda i: s[i:])
+    common = lambda x, y: next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y)))
+    lcp = np.array([0] + [common(s[i:], s[j:]) for i, j in zip(order, order[1:], strict=False)])
+    longest = lambda i, other: max((common(s[i:], s[j:]) for j in other), default=0)
+    assert suffix.previous_factor(np.array(order), lcp).tolist() == [longest(i, range(i)) for i in range(len(s))]
+    assert suffix.previous_factor(np.array(order), lcp, False).tolist() == [longest(i, range(i + 1, len(s))) for i in range(len(s))]
+
+
+def test_families_are_suffix_orders():
+    rng = random.Random(3)
+    contents = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(12, 30))) for _ in range(60)]
+    contents += contents[:5]
+    at = np.array([rng.randrange(len(c)) for c in contents])
+    for d, order, lcp in suffix.families(contents, at, 9):
+        cut = {i: contents[i][at[i] - d : at[i] + 9] for i in range(len(contents)) if at[i] >= d}
+        assert sorted(order.tolist()) == sorted(cut) and [cut[i] for i in order.tolist()] == sorted(cut.values())
+        for k in range(1, len(order)):
+            x, y = cut[order[k - 1]], cut[order[k]]
+            assert lcp[k] == next((j for j in range(min(len(x), len(y))) if x[j] != y[j]), min(len(x), len(y)))
 
 
 def base_rules(t):

@@ -8,19 +8,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch handed to Python; texts may be long, so batches are short.
-BATCH_ROWS = 500
+#: Rows and bytes of an Arrow batch handed to Python; texts may be long, so batches are short.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small enough for a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Keep Arrow batches of whole texts small enough for a Python worker: the session's setting, if not smaller already."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = int(str(spark.conf.get(name)).removesuffix("b"))
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, else (tests) one of our own."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, else, in local mode, one of our own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="stages_")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,12 +36,18 @@ SCOPE = set("ul ol dl table select menu article section main div body td th".spl
 BOILERPLATE = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer masthead toolbar comment comments reply replies disqus respond related recommended share sharing social newsletter subscribe signup login search widget pagination pager skip tags contentinfo complementary dialog".split())
 #: Headers of the page; one inside an article belongs to it.
 HEADERS = {"header", "banner"}
+#: Of these words, those that may mark an article's own text inside of one.
+OWN = set("tags search widget toolbar skip header banner notice dialog aside footer reply related".split())
+#: Elements beside an article, or beside what holds it, that belong to it.
+LEADS = set("h1 h2 h3 h4 h5 h6 hgroup p blockquote figure".split())
 #: Elements that may recur in the text of different articles, such as a heading or a table's cell.
 PARTS = set("h1 h2 h3 h4 h5 h6 td th tr dt caption".split())
 MAIN = {"article", "main"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# a value is quoted if a quote follows the equals sign; other quotes are characters like any
+_ATTRIBUTES = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+|))*+"
+_TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})(?:>|\Z)", re.S)
+_MARK = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true)|display\s*:\s*none""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -61,6 +68,7 @@ def parse(page: str) -> Node:
     """
     root = Node("")
     open_: list[Node] = [root]
+    names: Counter = Counter()
     at, size = 0, len(page)
     while at < size:
         m = _TOKEN.search(page, at)
@@ -76,17 +84,18 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].tag == tag:
-                    del open_[i:]
-                    break
-                if open_[i].tag in ("article", "main", "body", "td") and tag in ("p", "b", "i", "span", "li", "a", "em", "strong"):
-                    break
+            if names[tag]:
+                for i in range(len(open_) - 1, 0, -1):
+                    if open_[i].tag == tag:
+                        _end(open_, names, i)
+                        break
+                    if open_[i].tag in ("article", "main", "body", "td") and tag in ("p", "b", "i", "span", "li", "a", "em", "strong"):
+                        break
             continue
-        if tag in BLOCK:
-            _close(open_, {"p"})
-        if tag in CLOSES:
-            _close(open_, CLOSES[tag])
+        if tag in BLOCK and names["p"]:
+            _close(open_, names, {"p"})
+        if tag in CLOSES and any(names[x] for x in CLOSES[tag]):
+            _close(open_, names, CLOSES[tag])
         node = Node(tag, m[3])
         open_[-1].children.append(node)
         if tag in RAW:
@@ -97,14 +106,19 @@ def parse(page: str) -> Node:
             if end:
                 close = page.find(">", stop)
                 at = size if close < 0 else close + 1
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            open_.append(node)
-        elif tag not in VOID and tag not in ("svg", "path"):
+        elif tag not in VOID and not (tag in ("svg", "path") and m[3].endswith("/")):
             open_.append(node)  # a slash closes only void and foreign elements
+            names[tag] += 1
     return root
 
 
-def _close(open_: list[Node], tags: set[str]) -> None:
+def _end(open_: list[Node], names: Counter, i: int) -> None:
+    for x in open_[i:]:
+        names[x.tag] -= 1
+    del open_[i:]
+
+
+def _close(open_: list[Node], names: Counter, tags: set[str]) -> None:
     """End the innermost elements down to the outermost of ``tags`` in scope, with what they hold."""
     cut = None
     for i in range(len(open_) - 1, 0, -1):
@@ -113,7 +127,7 @@ def _close(open_: list[Node], tags: set[str]) -> None:
         elif open_[i].tag in SCOPE:
             break
     if cut is not None:
-        del open_[cut:]
+        _end(open_, names, cut)
 
 
 def is_boilerplate(node: Node, inside: bool) -> bool:
@@ -127,23 +141,11 @@ def is_boilerplate(node: Node, inside: bool) -> bool:
         return True
     for m in _MARK.finditer(node.attrs):
         words = set(_WORD.findall((m[1] or m[2] or m[3] or "").lower()))
-        if words & BOILERPLATE or (not inside and words & HEADERS):
+        if words & (BOILERPLATE - OWN if inside else BOILERPLATE):
             return True
     return False
 
 
-def _has_main(node: Node) -> bool:
-    stack = [node]
-    while stack:
-        x = stack.pop()
-        for c in x.children:
-            if isinstance(c, Node):
-                if c.tag in MAIN:
-                    return True
-                stack.append(c)
-    return False
-
-
 @dataclass(slots=True)
 class Subtree:
     """Hash and letters of an element with all it holds; ``size`` is the length of its text outside boilerplate."""
@@ -193,33 +195,38 @@ def may_be_template(node: Node, sub: Subtree, whole: Subtree, inside: bool) -> b
 
 
 def _roots(page: str) -> list[Node]:
-    """Where main text is looked for: the outermost articles, else the whole page."""
+    """Where main text is looked for: the outermost articles and the LEADS beside them, else the whole page."""
     root = parse(page)
-    if not _has_main(root):
+    over: dict[int, Node] = {}
+    articles, stack = [], [root]
+    while stack:
+        x = stack.pop()
+        if x.tag in MAIN:
+            articles.append(x)
+        else:
+            for c in reversed(x.children):
+                if isinstance(c, Node):
+                    over[id(c)] = x
+                    stack.append(c)
+    if not articles:
         return [root]
+    holds = set()
+    for x in articles:
+        while (x := over.get(id(x))) is not None and id(x) not in holds:
+            holds.add(id(x))
     out, stack = [], [root]
     while stack:
         x = stack.pop()
-        for c in reversed(x.children):
-            if isinstance(c, Node):
-                stack.append(c)
         if x.tag in MAIN:
             out.append(x)
-            del stack[len(stack) - sum(isinstance(c, Node) for c in x.children) :]
-    # an article that stands inside boilerplate is none
-    return _outside(root, out) or out
-
-
-def _outside(root: Node, wanted: list[Node]) -> list[Node]:
-    keep, stack = [], [root]
-    ids = set(map(id, wanted))
-    while stack:
-        x = stack.pop()
-        if id(x) in ids:
-            keep.append(x)
-        elif not is_boilerplate(x, False):
+        elif is_boilerplate(x, False):
+            continue
+        elif id(x) in holds:
             stack += [c for c in reversed(x.children) if isinstance(c, Node)]
-    return keep
+        elif x.tag in LEADS:
+            out.append(Node("", "", [x]))
+    # an article that stands inside boilerplate is none, unless there is no other
+    return out if any(x.tag in MAIN for x in out) else articles
 
 
 def template_hashes(page: str) -> tuple[int, list[int]]:

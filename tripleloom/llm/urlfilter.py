@@ -10,33 +10,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Weights, n-gram sizes, iterations of gradient descent, its step and penalty.
-BUCKETS, SIZES, ITERATIONS, STEP, PENALTY = 2048, (3, 4), 150, 4.0, 1e-3
+BUCKETS, SIZES, ITERATIONS, STEP, PENALTY = 2048, (3, 4), 150, 4.0, 2e-4
 #: Rows of the labelled table at most: they are held in one row.
 MOST_LABELLED = 2000
 #: (verdict, host, path)
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-# fixed values: words of blocked and allowed addresses in the labelled table
+# fixed values: words of addresses in the labelled table, by subject
 BLOCKED = """
-casino-win casino-royal lucky-casino online-casino free-casino free-bets sports-bets best-bets bets-now cheap-pills
-buy-pills pills-store diet-pills cheap-meds adult-x adult-videos adult-chat xxx-adult sexy-chat porn-tube spam-farm
-link-farm spam-links click-farm ads-track ads-server track-ads adserver-click pop-ads malware-download free-crack
-warez-crack phish-login free-money win-prize loan-fast poker-win slots-free viagra-cheap replica-watch
+casino poker roulette jackpot betting gambling lottery blackjack bookmaker wager baccarat bingo sportsbook
+adult porn xxx escort erotic nude webcamgirls hentai fetish stripper hookups
+viagra cialis pills steroids slimming painkiller tramadol
+malware phishing warez keygen trojan spyware torrent cracked botnet exploitkit
+spam adserver clickbait popunder adtracker bannerads doubleads leadgen spambot scam
+payday fastcash replica counterfeit pyramid
 """.split()
 ALLOWED = """
-news daily-news weather library museum university school science history garden cooking recipes travel music
-theatre cinema sports football running cycling health doctors hospital city-council transport railway maps
-photos nature birds mountains rivers books poems essays forum community wiki encyclopedia research journal
+news weather magazine journal gazette library museum archive
+university school college science mathematics physics history geography
+garden cooking recipes bakery travel hotel railway airport maps
+music theatre cinema orchestra gallery painting poetry
+football cycling athletics hiking health hospital dentist
+council ministry parliament court police weatherstation
+software developer compiler kernel forum wiki encyclopedia
+family parish village harbour mountain river birdwatching
 """.split()
 
 
+#: Words that addresses of either kind are made longer with.
+NEUTRAL = "online best my the hub world site shop top portal 24 click".split()
+
+
 def labelled(spark: SparkSession) -> DataFrame:
-    """(url, blocked): the small labelled table that the registered query is trained on."""
+    """(url, blocked): the small labelled table that the registered query is trained on, four addresses a word."""
     rows = []
     for words, blocked in ((BLOCKED, 1), (ALLOWED, 0)):
         for i, word in enumerate(words):
-            prefix, end, lang = ("", "www.", "blog.", "m.")[i % 4], ("com", "net", "org")[i % 3], ("en", "de", "fr", "es")[i % 4]
-            rows.append((f"https://{prefix}{word}.example.{end}/{lang}/{100 + 7 * i}{('', '.html', '/')[i % 3]}", blocked))
+            other, (one, two) = words[(7 * i + 3) % len(words)], (NEUTRAL[(i + k) % len(NEUTRAL)] for k in (0, 5))
+            dash, ends = ("-", "")[i % 2], ("com", "net", "org", "info")
+            for k, host in enumerate((word, f"{one}{dash}{word}", f"{word}{dash}{two}", f"{word}{dash}{other}s")):
+                rows.append((f"http{'s' * (k % 2)}://{'www.' * (k // 2)}{host}.{ends[(i + k) % 4]}/{one[: k + 1]}", blocked))
     return spark.createDataFrame(rows, "url string, blocked int")
 
 
@@ -50,8 +63,10 @@ def parts(url: Column) -> tuple[Column, Column]:
 def grams(host: Column, path: Column) -> Column:
     """Buckets of the n-grams of host and path, digits alike; each bucket once."""
     text = F.translate(F.concat(F.lit("^"), host, F.lit("$"), path, F.lit(" ")), "123456789", "000000000")
-    cut = lambda t, n: F.when(F.length(t) >= n, F.transform(F.sequence(F.lit(1), F.length(t) - n + 1), lambda i: F.pmod(F.xxhash64(F.substring(t, i, F.lit(n))), F.lit(BUCKETS)).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return F.transform(F.array(text), lambda t: F.array_distinct(F.concat(*[cut(t, n) for n in SIZES])))[0]
+    hashed = lambda c, n: lambda i: F.pmod(F.xxhash64(*[F.get(c, i + k) for k in range(n)]), F.lit(BUCKETS)).cast("int")
+    cut = lambda c, n: F.when(F.size(c) >= n, F.transform(F.sequence(F.lit(0), F.size(c) - n), hashed(c, n))).otherwise(F.array().cast("array<int>"))
+    # characters as an array: a substring of a long address would be looked for from its start each time
+    return F.transform(F.array(F.split(text, "")), lambda c: F.array_distinct(F.concat(*[cut(c, n) for n in SIZES])))[0]
 
 
 def _margin(x: Column, w: Column) -> Column:
@@ -97,7 +112,7 @@ def judge(pages: DataFrame, table: DataFrame | None = None, rules: list[tuple[st
 
     The longest rule that fits decides, the earlier of equally long ones; else the score, the
     probability of ``block``, does at one half. An address that is null or has no ``://`` has an empty
-    host and path, the score 0 and the verdict allow. Repeated rows are judged alike; an empty table
+    host and path, and is judged by them like any other. Repeated rows are judged alike; an empty table
     gives an empty result; other columns are ignored. There is no shuffle.
     """
     spark = pages.sparkSession
@@ -111,5 +126,5 @@ def judge(pages: DataFrame, table: DataFrame | None = None, rules: list[tuple[st
         rule = F.when(fit, h + p).otherwise(rule)
         verdict = F.when(fit, kind).otherwise(verdict)
     margin = _margin(grams(F.col("host"), F.col("path")), F.lit(weights))
-    score = F.when(F.concat("host", "path") == "", 0.0).otherwise(1 / (1 + F.exp(-margin)))
+    score = 1 / (1 + F.exp(-margin))
     return rows.withColumn("score", score).select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), "score")

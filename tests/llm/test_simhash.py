@@ -68,6 +68,40 @@ def test_trie_dense_and_empty():
     assert len(set(simhash.trie_links(np.zeros(len(keys), int), keys, 3).tolist())) == 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_pairs_of_subtrees(seed):
+    """Links between the two sides of a task only."""
+    rng = random.Random(seed)
+    low = sorted({rng.getrandbits(9) << 2 for _ in range(80)})
+    keys = np.array(low + [x | 1 << 20 for x in low], np.uint64)
+    side = np.array([simhash.FIRST] * len(low) + [simhash.SECOND] * len(low))
+    label = simhash.trie_links(np.zeros(len(keys), int), keys, 3, side)
+    near = np.bitwise_count(keys[:, None] ^ keys) <= 3
+    want = simhash._merge(np.arange(len(keys)), *np.nonzero(near & (side[:, None] < side)))
+    pairs = lambda x: {frozenset(np.flatnonzero(x == v).tolist()) for v in set(x.tolist())}
+    assert pairs(label) == pairs(want)
+    alone = simhash.trie_links(np.zeros(len(low), int), keys[: len(low)], 3, side[: len(low)])
+    assert len(set(alone.tolist())) == len(low)
+
+
+def test_subtrees_are_cut_without_a_collect(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rng = random.Random(5)
+    keys = sorted({(rng.getrandbits(6) << 40 | rng.getrandbits(5) << 20 | rng.getrandbits(4)) - (1 << 62) for _ in range(120)})
+    fps = spark.createDataFrame([(k,) for k in keys], "fp long")
+    with monkeypatch.context() as m:
+        m.setattr(DataFrame, "collect", lambda self: pytest.fail("collected"))
+        m.setattr(DataFrame, "toPandas", lambda self: pytest.fail("collected"))
+        edges = simhash.links(fps, subtree_rows=3)
+    at = {k: i for i, k in enumerate(keys)}
+    got = [(at[r.a], at[r.b]) for r in edges.collect()]
+    merged = simhash._merge(np.arange(len(keys)), *(np.array(x) for x in zip(*got, strict=True)))
+    u = np.array(keys, np.int64).view(np.uint64)
+    want = simhash._merge(np.arange(len(keys)), *np.nonzero(np.bitwise_count(u[:, None] ^ u) <= 3))
+    assert merged.tolist() == want.tolist()
+
+
 @pytest.fixture(scope="module")
 def documents(spark):
     rng = random.Random(1)
@@ -87,7 +121,7 @@ def documents(spark):
 
 @pytest.mark.parametrize("cut", [simhash.SUBTREE_ROWS, 3])
 def test_near_duplicates(spark, documents, cut):
-    df = spark.createDataFrame([(d, t, "x", 1) for d, t in documents], "doc_id long, text string, fingerprint string, fp int")
+    df = spark.createDataFrame([(d, t, "x", 1) for d, t in documents], "doc_id long, text string, fingerprint string, __first int")
     got = simhash.near_duplicates(df, subtree_rows=cut).collect()
     fps = [slow(t) for _, t in documents]
     want = brute([d for d, _ in documents], fps)

@@ -4,8 +4,9 @@ Fingerprints are 64-bit majorities over the XXH64 values of word shingles. Two f
 that differ in at most three bits agree on one of four 16-bit blocks, so each distinct
 fingerprint goes to four tasks, one per block rotated to the top. A task is a set of tries
 (one per block value); within it pairs of nodes are walked down together, and a pair is left
-as soon as the bits that differ on its paths exceed the budget. Blocks with too many
-fingerprints are cut into subtrees, and a task then holds a pair of subtrees.
+as soon as the bits that differ on its paths exceed the budget. The first steps of that walk are made
+in Spark for blocks with too many fingerprints: a pair of nodes becomes the pairs of their children
+that are within the budget, level by level, until each pair of subtrees fits a task.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from .common import components, prepare, shuffle_parts, stage
 
 BITS, BLOCKS = 64, 4
 BLOCK_BITS = BITS // BLOCKS
-#: Fingerprints of one subtree at most; larger ones are cut.
-SUBTREE_ROWS = 1 << 16
+#: Fingerprints of a pair of subtrees at most, and bits by which larger ones are cut.
+SUBTREE_ROWS, STEP = 1 << 18, 4
+#: Rows of a task that is one subtree, and of the two of a pair.
+SELF, FIRST, SECOND = 0, 1, 2
 #: Node pairs below this product are compared directly.
 DIRECT = 64
 #: Node pairs held at once while a trie is walked.
@@ -75,12 +78,14 @@ def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = up
 
 
-def trie_links(task: np.ndarray, keys: np.ndarray, budget: int, top: int = BLOCK_BITS) -> np.ndarray:
+def trie_links(task: np.ndarray, keys: np.ndarray, budget: int, side: np.ndarray | None = None, top: int = BLOCK_BITS) -> np.ndarray:
     """Sets of keys linked within ``budget`` differing bits, for each task apart.
 
     ``task`` numbers rows below 2**top, ``keys`` are 64-bit values that agree on their ``top`` bits
-    within a task. The result labels each row with one row of its set. The budget is raised bit
-    by bit; a pair of nodes whose rows are all in one set already is left at once.
+    within a task. Where ``side`` is given and is not SELF, a task is a pair of subtrees, FIRST below
+    SECOND in order, and only links between them are looked for. The result labels each row with one
+    row of its set. The budget is raised bit by bit; a pair of nodes whose rows are all in one set
+    already is left at once.
     """
     low = np.uint64((1 << (BITS - top)) - 1)
     word = (task.astype(np.uint64) << np.uint64(BITS - top)) | (keys & low)
@@ -92,16 +97,25 @@ def trie_links(task: np.ndarray, keys: np.ndarray, budget: int, top: int = BLOCK
         label = _merge(label, same, same + 1)
     root = np.flatnonzero(np.concatenate(([True], (k[1:] ^ k[:-1]) > low))) if n else np.zeros(0, np.int64)
     root_end = np.append(root[1:], n)
+    other, other_end = root, root_end
+    if side is not None and n:
+        part = side[order]
+        begin = root + np.add.reduceat((part == FIRST).astype(np.int64), root)
+        both = (part[root] == SELF) | (begin > root) & (begin < root_end)
+        other = np.where(part[root] == SELF, root, begin)[both]
+        root_end = np.where(part[root] == SELF, root_end, begin)[both]
+        other_end, root = other_end[both], root[both]
     for most in range(1, budget + 1):
-        label = _walk(k, label, root, root_end, most, top)
+        label = _walk(k, label, (root, root_end, other, other_end), most, top)
     out = np.empty(n, np.int64)
     out[order] = order[label]
     return out
 
 
-def _walk(k: np.ndarray, label: np.ndarray, root: np.ndarray, root_end: np.ndarray, most: int, top: int) -> np.ndarray:
+def _walk(k: np.ndarray, label: np.ndarray, roots: tuple[np.ndarray, ...], most: int, top: int) -> np.ndarray:
+    """Labels after the pairs of nodes (alo to ahi, blo to bhi) are walked down from ``roots``."""
     turn = np.concatenate(([0], np.cumsum(label[1:] != label[:-1])))
-    stack = [(root[s : s + FRONT], root_end[s : s + FRONT], root[s : s + FRONT], root_end[s : s + FRONT], np.full(len(root[s : s + FRONT]), top, np.int64)) for s in range(0, len(root), FRONT)]
+    stack = [(*(x[s : s + FRONT] for x in roots), np.full(len(roots[0][s : s + FRONT]), top, np.int64)) for s in range(0, len(roots[0]), FRONT)]
     found_i, found_j, held = [], [], 0
     while stack:
         alo, ahi, blo, bhi, depth = stack.pop()
@@ -153,38 +167,40 @@ def _walk(k: np.ndarray, label: np.ndarray, root: np.ndarray, root_end: np.ndarr
     return label
 
 
-def _top(rot, bits: int):
-    return F.shiftrightunsigned(rot, BITS - bits)
+def _halved(pairs: DataFrame, depth: int, budget: int) -> DataFrame:
+    """The rows of pairs of nodes at ``depth`` dealt to the pairs of their descendants at depth + STEP that are within the budget."""
+    nodes = 1 << STEP
+    own = F.shiftrightunsigned("rot", BITS - depth - STEP).bitwiseAND(F.lit(nodes - 1))
+    rows = pairs.withColumn("u", own).withColumn("v", F.explode(F.array(*[F.lit(i).cast("long") for i in range(nodes)])))
+    rows = rows.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) + F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= budget)
+    below = lambda x, y: F.shiftleft(x, STEP).bitwiseOR(F.col(y))
+    alone = F.col("side") == SELF
+    first = F.when(alone, F.col("u") <= F.col("v")).otherwise(F.col("side") == FIRST)
+    side = F.when(alone & (F.col("u") == F.col("v")), SELF).when(first, FIRST).otherwise(SECOND)
+    return rows.select("fp", "r", "rot", F.when(first, below("a", "u")).otherwise(below("a", "v")).alias("a"), F.when(first, below("b", "v")).otherwise(below("b", "u")).alias("b"), side.alias("side"))
 
 
-def _subtrees(rows: DataFrame, most: int, budget: int) -> DataFrame | None:
-    """(r, bits, prefix, pairs) of the subtrees that heavy blocks are cut into, or None without any.
+def _dealt(rows: DataFrame, most: int, budget: int) -> DataFrame:
+    """(fp, rot, task, side): every row of ``rows(fp, r, rot)`` for each pair of subtrees that it is compared in.
 
-    Only heavy nodes and their counts come to the driver: at most one per ``most`` rows.
+    A pair of nodes with over ``most`` rows goes down STEP bits at once. Two fingerprints have two rows
+    at most in any pair of the last level, so that this ends.
     """
-    spark, bits, step, leaves = rows.sparkSession, BLOCK_BITS, 4, []
-    heavy = [(x.r, x.prefix) for x in rows.groupBy("r", _top("rot", bits).alias("prefix")).count().filter(F.col("count") > most).collect()]
-    while heavy:
-        if bits >= BITS:
-            leaves += [(r, bits, p) for r, p in heavy]
-            break
-        table = F.broadcast(spark.createDataFrame(heavy, "r int, prefix long"))
-        counts = rows.withColumn("prefix", _top("rot", bits)).join(table, ["r", "prefix"], "left_semi").groupBy("r", _top("rot", bits + step).alias("prefix")).count().collect()
-        bits += step
-        leaves += [(x.r, bits, x.prefix) for x in counts if x["count"] <= most]
-        heavy = [(x.r, x.prefix) for x in counts if x["count"] > most]
-    if not leaves:
-        return None
-    blocks: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for r, b, p in leaves:
-        p &= (1 << b) - 1
-        blocks.setdefault((r, p >> (b - BLOCK_BITS)), []).append((b, p))
-    out = []
-    for (r, _), nodes in blocks.items():
-        for i, (b, p) in enumerate(nodes):
-            near = [(min(i, j), max(i, j)) for j, (c, q) in enumerate(nodes) if ((p >> max(0, b - c)) ^ (q >> max(0, c - b))).bit_count() <= budget]
-            out.append((r, b, p - (1 << BITS) if p >> (BITS - 1) else p, [f"{x}-{y}" for x, y in near]))
-    return spark.createDataFrame(out, "r int, bits int, prefix long, pairs array<string>")
+    prefix, depth, out = F.shiftrightunsigned("rot", BITS - BLOCK_BITS), BLOCK_BITS, None
+    live = rows.withColumns({"a": prefix, "b": prefix, "side": F.lit(SELF)})
+    while True:
+        heavy = None
+        if depth < BITS:
+            heavy = stage(live.groupBy("r", "a", "b").count().filter(F.col("count") > most).select("r", "a", "b"), "heavy")
+            if heavy.isEmpty():
+                heavy = None
+        ready = live if heavy is None else live.join(heavy, ["r", "a", "b"], "left_anti")
+        ready = ready.select("fp", "rot", F.xxhash64(F.lit(depth), "r", "a", "b").alias("task"), "side")
+        out = ready if out is None else out.unionByName(ready)
+        if heavy is None:
+            return out
+        live = stage(_halved(live.join(heavy, ["r", "a", "b"], "left_semi"), depth, budget), "subtrees")
+        depth += STEP
 
 
 def links(fps: DataFrame, budget: int = 3, subtree_rows: int = SUBTREE_ROWS) -> DataFrame:
@@ -199,30 +215,20 @@ def links(fps: DataFrame, budget: int = 3, subtree_rows: int = SUBTREE_ROWS) ->
     for r in range(1, BLOCKS):
         rot = rot.when(F.col("r") == r, F.shiftleft("fp", r * BLOCK_BITS).bitwiseOR(F.shiftrightunsigned("fp", BITS - r * BLOCK_BITS)))
     rows = fps.select("fp", F.explode(F.array(*map(F.lit, range(BLOCKS)))).alias("r")).withColumn("rot", rot)
-    cut = _subtrees(rows, subtree_rows, budget)
-    if cut is None:
-        dealt = rows.withColumn("pair", F.lit(""))
-    else:
-        sizes = [x.bits for x in cut.select("bits").distinct().collect()]
-        at = rows.withColumn("bits", F.explode(F.array(*map(F.lit, sizes)))).withColumn("prefix", F.expr(f"shiftrightunsigned(rot, {BITS} - bits)"))
-        inside = at.join(cut, ["r", "bits", "prefix"]).select("fp", "r", "rot", F.explode("pairs").alias("pair"))
-        blocks = cut.select("r", F.expr(f"shiftrightunsigned(prefix, bits - {BLOCK_BITS})").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).alias("block")).distinct()
-        plain = rows.withColumn("block", _top("rot", BLOCK_BITS)).join(blocks, ["r", "block"], "left_anti").select("fp", "r", "rot")
-        dealt = plain.withColumn("pair", F.lit("")).unionByName(inside)
-    parts = shuffle_parts(spark, 4 * fps.count(), 4 * subtree_rows)
-    dealt = dealt.select("fp", "rot", F.xxhash64("r", _top("rot", BLOCK_BITS), "pair").alias("task")).repartition(parts, "task")
+    parts = shuffle_parts(spark, BLOCKS * fps.count(), subtree_rows)
+    dealt = _dealt(rows, max(2, subtree_rows), budget).repartition(parts, "task")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()) for b in batches if b.num_rows]
+        got = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_numpy()) for b in batches if b.num_rows]
         if not got:
             return
-        fp, key, task = (np.concatenate(x) for x in zip(*got, strict=True))
+        fp, key, task, side = (np.concatenate(x) for x in zip(*got, strict=True))
         _, number = np.unique(task, return_inverse=True)
         room = 1 << BLOCK_BITS
         for at in range(0, int(number.max()) + 1, room):
             on = (number >= at) & (number < at + room)
             own = fp[on]
-            label = trie_links(number[on] - at, key[on].view(np.uint64), budget)
+            label = trie_links(number[on] - at, key[on].view(np.uint64), budget, side[on])
             tied = np.flatnonzero(own != own[label])
             yield pa.RecordBatch.from_arrays([pa.array(own[tied]), pa.array(own[label[tied]])], ["a", "b"])
 
@@ -253,15 +259,17 @@ def near_duplicates(docs: DataFrame, budget: int = 3, width: int = 3, subtree_ro
 def keep_first(docs: DataFrame, budget: int = 3, width: int = 3) -> DataFrame:
     """One row of docs for every component: the smallest by doc_id (null last), fingerprint, text and the other columns.
 
-    Rows are told apart by doc_id and a digest of the text and the whole row, so those that share an
-    id, or have none, stay if they are in different components; of rows equal in all one stays.
+    Rows are told apart by a digest of all columns, so those that share an id, or have none, stay if they
+    are in different components; of rows equal in all one stays. Fingerprints and digests alone go
+    through the search; the texts are shuffled once, to meet the digests that were chosen.
     """
-    row = F.concat_ws(":", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256), F.hex(F.xxhash64(*docs.columns)))
-    keyed = docs.withColumn("__row", row)
-    fps = stage(fingerprints(keyed.select(F.struct("doc_id", "__row").alias("doc_id"), "text"), width).select("doc_id.doc_id", "doc_id.__row", "fp"), "fps")
+    names = docs.columns
+    row = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.sha2(F.coalesce(F.col("text"), F.lit("")), 256), F.hex(F.xxhash64(*names))), 256)
+    keyed = docs.select(*names, row.alias("__key"))
+    fps = stage(fingerprints(keyed.select(F.struct("doc_id", "__key").alias("doc_id"), "text"), width).select("doc_id.doc_id", "doc_id.__key", "fp"), "fps")
     rooted = _components(fps.select("doc_id", "fp"), budget, SUBTREE_ROWS).select("fp", "root")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "__row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "__key")
     by_print = fps.groupBy("fp").agg(F.min(order).alias("first"))
-    firsts = by_print.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__first"), F.col("first.__row").alias("__key"))
-    kept = keyed.join(firsts, F.col("doc_id").eqNullSafe(F.col("__first")) & (F.col("__row") == F.col("__key")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__row"]).drop("__row")
+    firsts = by_print.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.__key").alias("__key"))
+    # equal rows have one digest, and are next to each other after the join by it
+    return keyed.join(firsts, "__key", "left_semi").dropDuplicates(["__key"]).select(*names)

@@ -1,12 +1,14 @@
 """Surrogates, decontamination, the pipeline."""
 
 import random
+import re
 
 import pytest
 
 import corpus_pipeline
 from tripleloom.llm import decontam, pii
 
+KEY = b"of the tests"
 SAMPLES = [
     ("a@b.com and A@B.COM", 2),
     ("call +44 20 7946 0958 or (555) 123-4567.", 2),
@@ -14,8 +16,15 @@ SAMPLES = [
     ("at 10.0.0.1, v1.2.3.4.5 no", 1),
     ("DE89 3704 0044 0532 0130 00", 1),
     ("password: 'hunter22' token=\"0123456789abcdef0123456789abcdef01234567\"", 2),
-    ("Mrs. Anna Smith met Herr Müller", 2),
-    ("г-н Иван Петров", 1),
+    ("Mrs. Anna Smith met Herr Müller", 3),
+    ("г-н Иван Петров", 2),
+    ('password="********"', 1),
+    ("пароль: 'секрет'; token='ключ-№7'", 2),
+    ("api_key=Zk3Q99xx, password: please, secret: hunter2xyz.", 2),
+    ("Mrs Anna Smith left. Anna Smith returned. Ms Smith spoke. Anna said: Annaba", 6),
+    ("Contact: Jane O'Neil-Poe\nJane's card 4111111111111112, 000-12-3456", 3),
+    ("2001:db8:85a3::8a2e:370:7334 at 10:30:00", 1),
+    ("password='é' secret='\u0b83\u0b83\u0b83\u0b83\u0b83\u0b83'", 1),
     ("plain text, 12 words, 3.5 and 2001-01-01", 0),
     (None, 0),
     ("", 0),
@@ -24,20 +33,46 @@ SAMPLES = [
 
 def test_find_and_replace(spark):
     df = spark.createDataFrame([(i, t, 0, "x") for i, (t, _) in enumerate(SAMPLES)], "doc_id long, text string, n_entities int, made string")
-    rows = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
+    rows = {r.doc_id: r for r in pii.pseudonymise(df, KEY).collect()}
     for i, (t, n) in enumerate(SAMPLES):
         r = rows[i]
         assert r.n_entities == n and r.made == "x"
         assert (r.text == t) == (n == 0)
         for a, b, _, _ in pii.find(t):
-            assert t[a:b] not in r.text
+            assert not re.search(rf"(?<!\w){re.escape(t[a:b])}(?!\w)", r.text)
     one, two = rows[0].text.split(" and ")
     assert one.upper() == two and one.endswith(".com")
     assert rows[2].text.split(" and ")[0].replace("-", "") == rows[2].text.split(" and ")[1]
     assert pii.luhn(rows[2].text.split(" and ")[1]) == 0
     assert rows[1].text.startswith("call +44 ") and len(rows[1].text) == len(SAMPLES[1][0])
     assert rows[6].text.split()[1] in pii.GIVEN["latin", "f"] and pii._script(rows[7].text) == "cyrillic"
-    assert pii.pseudonymise(df.limit(0)).count() == 0
+    assert pii._mod97(rows[4].text.replace(" ", "")) == 1 and rows[4].text[:2] == "DE"
+    words = rows[11].text.replace(".", "").split()
+    assert words[1] == words[4] == words[10] == rows[6].text.split()[1] and words[2] == words[5] == words[8] and words[12] == "Annaba"
+    assert pii.pseudonymise(df.limit(0), KEY).count() == 0
+    twice = pii.pseudonymise(df.union(df), KEY).collect()
+    assert sorted((r.doc_id, r.text or "") for r in twice) == sorted([(i, r.text or "") for i, r in rows.items()] * 2)
+    other = {r.doc_id: r.text for r in pii.pseudonymise(df, b"another").collect()}
+    assert all(other[i] != rows[i].text for i, (_, n) in enumerate(SAMPLES) if n)
+
+
+def test_long_text_of_many_names(spark):
+    rng = random.Random(4)
+    names = [f"{chr(65 + i % 26)}{''.join(rng.choice('aeiou') + rng.choice('lmnr') for _ in range(4))}" for i in range(400)]
+    text = " ".join(f"Mr {rng.choice(names)} and {rng.choice(names)} met" for _ in range(60_000))
+    df = spark.createDataFrame([(1, text), (2, "none here " * 200_000)], "__row long, text string")
+    got = {r["__row"]: r for r in pii.pseudonymise(df, KEY, most_sent=-1).collect()}
+    made = dict(zip(text.split(), got[1].text.split(), strict=True))
+    assert got[1].n_entities == 120_000 and got[2].n_entities == 0
+    assert len({made[n] for n in names}) == len(names) and not {made[n] for n in names} & set(names)
+    assert [made[w] for w in text.split()] == got[1].text.split()
+
+
+def test_session_key(spark):
+    assert pii.session_key(spark) != pii.session_key(spark)
+    spark.conf.set(pii.KEY_SETTING, "s")
+    assert pii.session_key(spark) == b"s"
+    spark.conf.unset(pii.KEY_SETTING)
 
 
 def test_permutation_is_one():
@@ -49,29 +84,22 @@ def test_permutation_is_one():
     assert [pii.luhn(c) == 0 for c in cards] == [pii.luhn(c) == 0 for c in made]
 
 
-@pytest.mark.parametrize("sent", [pii.MOST_SENT, 0])
-def test_collisions_are_drawn_again(spark, monkeypatch, sent):
-    names = [f"Herr {chr(65 + i)}{chr(97 + j)}x" for i in range(6) for j in range(6)]
-    make = pii.Surrogates._make
-
-    def few(self, kind, value, draw):
-        return f"Made{self._stream(value, draw) % 60}" if kind.startswith("name") else make(self, kind, value, draw)
-
-    monkeypatch.setattr(pii.Surrogates, "_make", few)
-    found = spark.createDataFrame([("name-m", n[5:], 1) for n in names], "kind string, value string, n long")
-    # drawn on executors, where the patch does not reach: drive the same rule here
-    tool = pii.Surrogates(pii.KEY)
-    draws, taken = {}, {}
-    for name in sorted(n[5:] for n in names):
-        d = 0
-        while tool.known("name-m", name, d) in taken:
-            d += 1
-        taken[tool.known("name-m", name, d)], draws[name] = name, d
-    assert len(taken) == len(names) and max(draws.values()) > 0
-    assert pii.redraws(found).count() >= 0
-    df = spark.createDataFrame([(i, n) for i, n in enumerate(names * 2)], "doc_id long, text string")
-    texts = [r.text for r in pii.pseudonymise(df, most_sent=sent - 1 if not sent else sent).orderBy("doc_id").collect()]
+@pytest.mark.parametrize("sent", [pii.MOST_SENT, -1])
+def test_collisions_are_drawn_again(spark, sent):
+    names = [f"{chr(65 + i)}{chr(97 + j)}xen" for i in range(6) for j in range(6)]
+
+    class Few(pii.Surrogates):
+        """Draws from few surrogates, some of them real names."""
+
+        def _formed(self, kind, value, draw):
+            return (["Aaxen", "Bbxen"] + [f"Made{'abcdefghij'[k % 10]}" for k in range(30)])[self._stream(value, draw) % 32]
+
+    docs = spark.createDataFrame([(i, f"Herr {n}") for i, n in enumerate(names * 2)], "doc_id long, text string")
+    drawn = {r.value: r.draw for r in pii.redraws(pii.entities(docs), KEY, Few).collect()}
+    assert drawn and max(drawn.values()) >= pii.LAST  # there are fewer surrogates than names
+    texts = [r.text for r in pii.pseudonymise(docs, KEY, sent, Few).orderBy("doc_id").collect()]
     assert texts[: len(names)] == texts[len(names) :] and len(set(texts)) == len(names)
+    assert not {t[5:] for t in texts} & set(names)
 
 
 def passages(rng, n, least=15, most=59):
@@ -108,8 +136,55 @@ def test_decontamination_finds_all(spark):
     assert not found - planted
     clean = decontam.keep_clean(df, bench)
     assert clean.columns == df.columns and {r.doc_id for r in clean.collect()} == {d for d, _, _ in docs} - {d for d, _ in found}
-    blocks = {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench, most_items=15).collect()}
+    blocks = {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench, most_bytes=7000).collect()}
     assert blocks == found
+    again = decontam.contaminated(df.union(df), bench.union(bench.selectExpr("item_id + 1000", "text"))).collect()
+    assert len(again) == 4 * len(found) and {(r.doc_id, r.item_id % 1000) for r in again} == found
+
+
+def test_long_words_and_pieces():
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choice("abcé") for _ in range(rng.randrange(1, 9))) for _ in range(600_000))
+    data = decontam.folded(text)
+    assert len(data) > 3 * decontam._ROOM
+    one = {w: int(decontam.hashes_of(w)[0]) for w in set(decontam.words_of(text))}
+    assert decontam.hashes_of(data).tolist() == [one[w] for w in decontam.words_of(text)]
+    assert len(decontam.hashes_of(b"")) == 0 and len(decontam.hashes_of(b"a" * (5 << 20))) == 5
+
+
+def test_tails_of_long_items(spark):
+    """The last words of a long item, by cosine alone: no four words in a row are left."""
+    rng = random.Random(21)
+    items, words = passages(rng, 30, 70, 76)
+    fill = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    docs = []
+    for k, x in enumerate(items):
+        w = [y if j % 4 != 3 else rng.choice(words) for j, y in enumerate(x.split())]
+        docs.append((k, f"{fill(80)} {' '.join(w)} {fill(80)}"))
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(k, x, " ".join(x.split()[:3])) for k, x in enumerate(items)], "item_id long, text string, answer string")).collect()}
+    assert got <= {(k, k) for k in range(30)} and len(got) >= 27
+
+
+@pytest.mark.parametrize("share, least", [(0.2, 0.95), (0.3, 0.9)])
+def test_paraphrase_recall(spark, share, least):
+    """Items of which a share of the words is replaced, but not the answer; compared with the check on every place."""
+    rng = random.Random(int(share * 100))
+    items, words = passages(rng, 150, 20, 59)
+    fill = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows, answers = [], [" ".join(x.split()[-4:]) for x in items]
+    for k, x in enumerate(items):
+        w = x.split()
+        changed = [y if j >= len(w) - 4 or rng.random() > share else rng.choice(words) for j, y in enumerate(w)]
+        rows.append((k, f"{fill(rng.randrange(20, 200))} {' '.join(changed)} {fill(rng.randrange(20, 200))}"))
+    bench = spark.createDataFrame(list(zip(range(150), items, answers, strict=True)), "item_id long, text string, answer string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    want = set()
+    for k, t in rows:
+        w, item = decontam.words_of(t), decontam.words_of(items[k])
+        if decontam.lcs(decontam.masks_of(item), len(item), w) >= decontam.PARAPHRASE * len(item):
+            want.add((k, k))
+    print(f"share {share}: {len(got & want)} of {len(want)} paraphrases, {len(got - want)} others")
+    assert len(got & want) >= least * len(want) and len(got - want) <= 3
 
 
 def test_decontamination_of_nothing(spark):

@@ -31,7 +31,7 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

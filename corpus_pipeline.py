@@ -32,7 +32,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with surrogates for personal data; ``n_chars`` follows the new text."""
-    return pii.pseudonymise(docs).drop("n_entities").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return pii.pseudonymise(docs, pii.session_key(spark)).drop("n_entities").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

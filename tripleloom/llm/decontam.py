@@ -15,13 +15,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType
 
 from .common import prepare, stage
 
@@ -35,8 +34,8 @@ COSINE, COPY, PARAPHRASE, ANSWER = 0.4, 0.8, 0.6, 0.8
 SHORT, GRAM = 8, 4
 #: Words of passages that the space is made from; words that are handled at once.
 PASSAGE, PART = 64, 10_000
-#: Items that are sent to executors at once; more go in several searches.
-MOST_ITEMS = 4000
+#: Bytes of items that are sent to executors at once; more go in several searches. Items that are compared at once.
+MOST_BYTES, BLOCK_ITEMS = 16 << 20, 2048
 #: Letters of words: digits, letters, the underscore, and all that is not ASCII but this punctuation.
 _WORD = re.compile(rb"[0-9a-z_\x80-\xff]+")
 _MARKS = re.compile("[\u00a0-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb\u00bf\u2000-\u206f\u3000-\u303f]")
@@ -68,18 +67,25 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def hashes_of(data: bytes) -> np.ndarray:
-    """A 64-bit hash of every word of a folded text, by polynomial hashes from prefix sums."""
-    if len(data) >= _ROOM:
-        cut = max(data.rfind(b" ", 0, _ROOM - 1), data.rfind(b"\n", 0, _ROOM - 1))
-        cut = cut if cut > 0 else _ROOM - 1
-        return np.concatenate((hashes_of(data[:cut]), hashes_of(data[cut:])))
-    a = np.frombuffer(data, np.uint8)
-    edge = np.flatnonzero(np.diff(_IN_WORD[a].view(np.int8), prepend=0, append=0))
-    start, end = edge[0::2], edge[1::2]
-    total = np.zeros(len(a) + 1, np.uint64)
-    np.cumsum((a + np.uint64(1)) * _DOWN[: len(a)], out=total[1:])
-    h = (total[end] - total[start]) * _UP[start]
-    return (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    """A 64-bit hash of every word of a folded text, by polynomial hashes from prefix sums.
+
+    Long texts are taken in pieces that end between words; a word of over a MiB counts as several.
+    """
+    out, at = [], 0
+    while True:
+        a = np.frombuffer(data, np.uint8, min(len(data) - at, _ROOM), at) if at < len(data) else np.zeros(0, np.uint8)
+        inside = _IN_WORD[a]
+        if at + len(a) < len(data) and len(gaps := np.flatnonzero(~inside)):
+            a, inside = a[: gaps[-1] + 1], inside[: gaps[-1] + 1]
+        edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+        start, end = edge[0::2], edge[1::2]
+        total = np.zeros(len(a) + 1, np.uint64)
+        np.cumsum((a + np.uint64(1)) * _DOWN[: len(a)], out=total[1:])
+        h = (total[end] - total[start]) * _UP[start]
+        out.append((h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
+        at += len(a)
+        if at >= len(data):
+            return out[0] if len(out) == 1 else np.concatenate(out)
 
 
 def buckets_of(data: bytes) -> np.ndarray:
@@ -121,7 +127,10 @@ class Space:
     project: np.ndarray
 
     def place(self, words: list[bytes]) -> np.ndarray:
-        v = self.project[buckets_of(b" ".join(words))].sum(axis=0)
+        return self.place_of(buckets_of(b" ".join(words)))
+
+    def place_of(self, buckets: np.ndarray) -> np.ndarray:
+        v = self.project[buckets].sum(axis=0)
         return v / (np.linalg.norm(v) or 1)
 
 
@@ -192,19 +201,22 @@ def latent_space(docs: DataFrame) -> Space:
 
 @dataclass
 class Item:
-    item_id: object
-    words: list[bytes]
-    answer: list[bytes]
+    """An item's folded text, and that of its answer, the last sentence if there is none."""
+
+    key: str
+    text: bytes
+    answer: bytes
 
 
 def items_of(rows: list) -> list[Item]:
-    """Items from (item_id, text[, answer]) rows; without an answer the last sentence stands for it."""
+    """Items from (key, text[, answer]) rows that have a word."""
     out = []
     for x in rows:
-        words = words_of(x.text)
-        if words:
-            sentences = [w for w in map(words_of, re.split(r"[.!?]+(?:\s|$)", x.text)) if w]
-            out.append(Item(x.item_id, words, words_of(getattr(x, "answer", None)) or sentences[-1]))
+        if len(hashes_of(text := folded(x.text))):
+            answer = folded(getattr(x, "answer", None))
+            if not len(hashes_of(answer)):
+                answer = [w for w in map(folded, re.split(r"[.!?]+(?:\s|$)", x.text)) if _WORD.search(w)][-1]
+            out.append(Item(x.key, text, answer))
     return out
 
 
@@ -214,35 +226,47 @@ class Searcher:
     def __init__(self, space: Space, items: list[Item]) -> None:
         self.space, self.items = space, items
         self.project = np.vstack([space.project, np.zeros((1, space.project.shape[1]), np.float32)])
-        self.masks = [masks_of(x.words) for x in items]
-        self.answers = [masks_of(x.answer) for x in items]
-        self.sizes = np.array([len(x.words) for x in items])
-        self.hashed: list[dict] = []
-        self.has = np.zeros((len(items), BUCKETS + 1), bool)
-        for i, x in enumerate(items):
-            hashed = buckets_of(b" ".join(x.words))
-            self.has[i, hashed] = True
-            self.hashed.append(masks_of(hashed.tolist()))
-        exact: dict[int, dict[int, list[tuple[int, int]]]] = {}
-        for i, x in enumerate(items):
-            h = hashes_of(b" ".join(x.words))
-            size = min(len(h), GRAM if len(h) >= SHORT else SHORT)
-            for at, g in enumerate(grams(h, size).tolist()):
-                exact.setdefault(size, {}).setdefault(g, []).append((i, at))
-        self.exact = [(size, known, self._sieve(known)) for size, known in exact.items()]
+        hashes = [hashes_of(x.text) for x in items]
+        self.sizes = np.array(list(map(len, hashes)))
+        # words and places are made for the items that are candidates; of all, a bit for each bucket
+        self.words = lru_cache(1 << 12)(lambda i: _WORD.findall(items[i].text))
+        self.masks = lru_cache(1 << 12)(lambda i: masks_of(self.words(i)))
+        self.answers = lru_cache(1 << 12)(lambda i: (masks_of(a := _WORD.findall(items[i].answer)), len(a)))
+        self.hashed = lru_cache(1 << 12)(lambda i: masks_of(buckets_of(items[i].text).tolist()))
+        bits = np.zeros((len(items), BUCKETS // 8 + 1), np.uint8)
+        for row, h in zip(bits, hashes, strict=True):
+            b = (h >> np.uint64(52)).astype(np.int64)
+            np.bitwise_or.at(row, b >> 3, (1 << (b & 7)).astype(np.uint8))
+        self.bits = bits
+        found: dict[int, list[tuple[np.ndarray, int]]] = {}
         self.queries = {w: ([], []) for w in WINDOWS}
-        for i, x in enumerate(items):
-            for at in range(0, len(x.words), WINDOWS[-1]):
-                part = x.words[at : at + WINDOWS[-1]]
-                if at and len(part) < WINDOWS[0]:
-                    continue
+        for i, h in enumerate(hashes):
+            size = min(len(h), GRAM if len(h) >= SHORT else SHORT)
+            found.setdefault(size, []).append((grams(h, size), i))
+            # the last part of a long item ends with it
+            for at in sorted({min(at, max(0, len(h) - WINDOWS[-1])) for at in range(0, len(h), WINDOWS[-1])}):
+                part = h[at : at + WINDOWS[-1]]
                 w = next(w for w in WINDOWS if len(part) <= w)
                 self.queries[w][0].append((i, at))
-                self.queries[w][1].append(space.place(part))
+                self.queries[w][1].append(space.place_of((part >> np.uint64(52)).astype(np.int64)))
+        self.queries = {w: (np.array(places, np.int64).reshape(-1, 2), np.array(vectors, np.float32)) for w, (places, vectors) in self.queries.items()}
+        self.exact = []
+        for size, parts in found.items():
+            known = np.concatenate([g for g, _ in parts])
+            item = np.repeat([i for _, i in parts], [len(g) for g, _ in parts])
+            place = np.concatenate([np.arange(len(g)) for g, _ in parts])
+            order = np.argsort(known, kind="stable")
+            sieve = np.zeros(1 << 20, bool)
+            sieve[known >> np.uint64(44)] = True
+            self.exact.append((size, known[order], item[order], place[order], sieve))
+
+    def holds(self, i: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """Whether items have a word of a bucket; none has the bucket BUCKETS, which pads."""
+        return self.bits[i, bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1
 
     def region(self, first: int, i: int, place: int) -> tuple[int, int]:
         """Words of a document that are compared with an item of which the part at ``place`` is near ``first``."""
-        size = len(self.items[i].words)
+        size = int(self.sizes[i])
         window = next((w for w in WINDOWS if size - place <= w), WINDOWS[-1])
         return max(0, first - place - window // 4), first - place + max(size, window) + window // 4
 
@@ -262,45 +286,43 @@ class Searcher:
             sums = _added(self.project, line, step) if sums is None else pairs[0::2]
             pairs = sums.copy()
             pairs[:-1] += sums[1:]
-            places, vectors = self.queries[w]
-            if not places:
+            every, vectors = self.queries[w]
+            if not len(every):
                 continue
             total = pairs.copy()
             total[:-2] += pairs[2:]
-            norm = np.sqrt(np.einsum("ij,ij->i", total, total))
-            near = total @ np.array(vectors, np.float32).T
-            at, q = np.nonzero(near >= COSINE * np.maximum(norm, 1e-6)[:, None])
-            if not len(at):
-                continue
-            which = np.array([p[0] for p in places])[q]
-            fits = np.ones(len(at), bool)
-            inner = self.sizes[which] <= gap
-            for s in range(0, len(at), 1 << 14):
-                cut = slice(s, s + (1 << 14))
-                around = np.clip(at[cut, None] * step + np.arange(-step, w + step), 0, len(line) - 1)
-                found = self.has[which[cut, None], line[around]].sum(axis=1)
-                fits[cut] = ~inner[cut] | (found >= PARAPHRASE * self.sizes[which[cut]])
-            at, q = at[fits], q[fits]
-            row = np.searchsorted(begins, at * step, side="right") - 1
-            for a, b, r in zip(at.tolist(), q.tolist(), row.tolist(), strict=True):
-                yield r, a * step - int(begins[r]), *places[b], float(near[a, b] / norm[a])
-
-    @staticmethod
-    def _sieve(known: dict) -> np.ndarray:
-        out = np.zeros(1 << 20, bool)
-        out[np.array(list(known), np.uint64) >> np.uint64(44)] = True
-        return out
+            norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", total, total)), 1e-6)
+            for first in range(0, len(every), BLOCK_ITEMS):
+                places = every[first : first + BLOCK_ITEMS]
+                near = total @ vectors[first : first + BLOCK_ITEMS].T
+                at, q = np.nonzero(near >= COSINE * norm[:, None])
+                if not len(at):
+                    continue
+                which = places[q, 0]
+                fits = np.ones(len(at), bool)
+                inner = self.sizes[which] <= gap
+                for s in range(0, len(at), 1 << 14):
+                    cut = slice(s, s + (1 << 14))
+                    around = np.clip(at[cut, None] * step + np.arange(-step, w + step), 0, len(line) - 1)
+                    found = self.holds(which[cut, None], line[around]).sum(axis=1)
+                    fits[cut] = ~inner[cut] | (found >= PARAPHRASE * self.sizes[which[cut]])
+                at, q = at[fits], q[fits]
+                row = np.searchsorted(begins, at * step, side="right") - 1
+                for a, b, r in zip(at.tolist(), q.tolist(), row.tolist(), strict=True):
+                    yield r, a * step - int(begins[r]), int(places[b, 0]), int(places[b, 1]), float(near[a, b] / norm[a])
 
     def in_a_row(self, h: np.ndarray) -> Iterator[tuple[int, int]]:
         """(first word, item) where the item would begin, by the words in a row that a text has in common with an item.
 
         Of short items, all of the words; of longer ones, one finding for each shift by a few words.
         """
-        for size, known, sieve in self.exact:
+        for size, known, item, places, sieve in self.exact:
             g = grams(h, size)
             seen = set()
-            for at in np.flatnonzero(sieve[g >> np.uint64(44)]).tolist():
-                for i, place in known.get(int(g[at]), ()):
+            maybe = np.flatnonzero(sieve[g >> np.uint64(44)])
+            begin, end = (np.searchsorted(known, g[maybe], side) for side in ("left", "right"))
+            for at, a, b in zip(maybe.tolist(), begin.tolist(), end.tolist(), strict=True):
+                for i, place in zip(item[a:b].tolist(), places[a:b].tolist(), strict=True):
                     # a text that repeats an item's words has them again in every window of it
                     key = (i, (at - place) // SHORT, at // WINDOWS[-1]) if self.sizes[i] >= SHORT else i
                     if key not in seen:
@@ -309,28 +331,28 @@ class Searcher:
 
     def cosine(self, first: int, i: int, b: np.ndarray) -> float:
         """Cosine of a text's words from ``first`` on with the item, or its first part."""
-        part = self.items[i].words[: WINDOWS[-1]]
+        part = buckets_of(self.items[i].text)[: WINDOWS[-1]]
         v = self.space.project[b[first : first + len(part)]].sum(axis=0)
-        return float(v @ self.space.place(part) / (np.linalg.norm(v) or 1))
+        return float(v @ self.space.place_of(part) / (np.linalg.norm(v) or 1))
 
     def check(self, words: list[bytes], first: int, i: int, place: int) -> tuple[float, float] | None:
         """Common subsequences with the item and its answer near a window, None if the text does not hold the item."""
-        item, masks = self.items[i], self.masks[i]
-        size = len(item.words)
+        size = int(self.sizes[i])
         a, b = self.region(first, i, place)
         region = words[a:b]
-        share = lcs(masks, size, region) / size
+        share = lcs(self.masks(i), size, region) / size
         if share < PARAPHRASE:
             return None
-        answer = lcs(self.answers[i], len(item.answer), region) / len(item.answer)
+        masks, length = self.answers(i)
+        answer = lcs(masks, length, region) / length
         if size < SHORT:
-            return (share, answer) if any(region[k : k + size] == item.words for k in range(len(region))) else None
+            return (share, answer) if any(region[k : k + size] == self.words(i) for k in range(len(region))) else None
         return (share, answer) if share >= COPY or answer >= ANSWER else None
 
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, float, float, int]]:
         """(row, item, cosine, share, answer, first word): the best finding of each row and item."""
         best: dict[tuple[int, int], tuple] = {}
-        overlap = max((len(x.words) for x in self.items), default=0) + 2 * WINDOWS[-1]
+        overlap = int(self.sizes.max(initial=0)) + 2 * WINDOWS[-1]
         for held in self._held(texts, overlap):
             words: dict[int, list[bytes]] = {}
             for k, first, i, place, cosine in self._all([(h >> np.uint64(52)).astype(np.int64) for _, _, h in held], [x[2] for x in held]):
@@ -340,9 +362,9 @@ class Searcher:
                     continue
                 at, end = self.region(first, i, place)
                 near = (h[at:end] >> np.uint64(52)).astype(np.int64)
-                size = len(self.items[i].words)
+                size = int(self.sizes[i])
                 # equal words have equal buckets: what fails on buckets fails on words
-                if lcs(self.hashed[i], size, near[self.has[i, near]].tolist()) < PARAPHRASE * size:
+                if lcs(self.hashed(i), size, near[self.holds(np.array(i), near) > 0].tolist()) < PARAPHRASE * size:
                     continue
                 if row not in words:
                     words[row] = words_of(texts[row])
@@ -378,50 +400,49 @@ class Searcher:
             yield held
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, most_items: int = MOST_ITEMS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, answer, first_word): every document and item that it holds.
 
     ``lcs`` is the share of the item's words found in order, ``answer`` that of its answer: the
     column ``answer`` of benchmark, or the last sentence. Null and empty texts hold nothing, items
-    without words are nowhere. Repeated documents and items are reported one by one. Empty tables
-    give an empty result; other columns are ignored.
+    without words are nowhere. Repeated documents and items are reported one by one: items of one
+    text are searched once. Empty tables give an empty result; other columns are ignored. The corpus is
+    read once for every ``most_bytes`` of items of different text, which is what is sent to executors.
     """
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select("doc_id", "text")
-    columns = [c for c in ("item_id", "text", "answer") if c in benchmark.columns]
-    chosen = benchmark.select(*columns).filter(F.col("text").isNotNull())
+    columns = [c for c in ("text", "answer") if c in benchmark.columns]
+    key = F.sha2(F.concat_ws("\0", *[F.coalesce(F.sha2(c, 256), F.lit("-")) for c in columns]), 256)
+    known = stage(benchmark.filter(F.col("text").isNotNull()).select("item_id", key.alias("key"), *columns), "items")
+    texts = known.select("key", *columns).dropDuplicates(["key"])
+    total = texts.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(200))).alias("n")).first()["n"]
     ids = {"doc": rows.schema["doc_id"].dataType.simpleString(), "item": benchmark.schema["item_id"].dataType.simpleString()}
-    shape = f"doc_id {ids['doc']}, item_id {ids['item']}, cosine double, lcs double, answer double, first_word long"
-    blocks = -(-chosen.count() // most_items)
-    if not blocks:
-        return spark.createDataFrame([], shape)
-    space = latent_space(rows)
-    out = None
+    if not total:
+        return spark.createDataFrame([], f"doc_id {ids['doc']}, item_id {ids['item']}, cosine double, lcs double, answer double, first_word long")
+    space, blocks, out = latent_space(rows), -(-total // most_bytes), None
     for k in range(blocks):
-        part = chosen.filter(F.pmod(F.xxhash64(*columns), F.lit(blocks)) == k) if blocks > 1 else chosen
-        found = _search(rows, space, items_of(sorted(part.collect(), key=str)), shape, benchmark.schema["item_id"].dataType)
+        part = texts.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k) if blocks > 1 else texts
+        found = _search(rows, space, items_of(part.orderBy("key").collect()), ids["doc"])
         out = found if out is None else out.unionByName(found)
-    return out
+    return out.join(known.select("key", "item_id"), "key").select("doc_id", "item_id", "cosine", "lcs", "answer", "first_word")
 
 
-def _search(rows: DataFrame, space: Space, items: list[Item], shape: str, item_type: DataType) -> DataFrame:
+def _search(rows: DataFrame, space: Space, items: list[Item], doc_type: str) -> DataFrame:
+    """(doc_id, key, cosine, lcs, answer, first_word) for items of at most MOST_BYTES, as they were chosen."""
     sent = rows.sparkSession.sparkContext.broadcast((space, items))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, items = sent.value
         tool = Searcher(space, items)
-        names = shape_names
         for batch in batches:
             got = list(tool.search(batch.column(1).to_pylist()))
             doc = batch.column(0).take(pa.array([x[0] for x in got], pa.int64()))
-            item = pa.array([items[x[1]].item_id for x in got], kinds)
+            key = pa.array([items[x[1]].key for x in got], pa.string())
             rest = [pa.array([x[i] for x in got], pa.float64()) for i in (2, 3, 4)]
-            yield pa.RecordBatch.from_arrays([doc, item, *rest, pa.array([x[5] for x in got], pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([doc, key, *rest, pa.array([x[5] for x in got], pa.int64())], ["doc_id", "key", "cosine", "lcs", "answer", "first_word"])
 
-    kinds = to_arrow_type(item_type)
-    shape_names = ["doc_id", "item_id", "cosine", "lcs", "answer", "first_word"]
-    return rows.mapInArrow(run, shape)
+    return rows.mapInArrow(run, f"doc_id {doc_type}, key string, cosine double, lcs double, answer double, first_word long")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -37,9 +37,10 @@ def counts(text: str | None) -> np.ndarray | None:
     """How often each bucket's n-grams occur in the lower-cased text; None if it has no letter."""
     if not text:
         return None
-    total, any_letter = np.zeros(BUCKETS, np.int64), False
+    total, any_letter, text = np.zeros(BUCKETS, np.int64), False, text.lower()
     for at in range(0, len(text), SEGMENT):
-        code = np.frombuffer(text[max(0, at - SIZES + 1) : at + SEGMENT].lower().encode("utf-32-le", "replace"), np.uint32)
+        before = min(at, SIZES - 1)
+        code = np.frombuffer(text[at - before : at + SEGMENT].encode("utf-32-le", "replace"), np.uint32)
         letter = _letters()[code]
         any_letter |= bool(letter.any())
         code = np.where(letter, code, 32).astype(np.uint64)
@@ -48,6 +49,8 @@ def counts(text: str | None) -> np.ndarray | None:
             if n > 1:
                 h = h[:-1] * np.uint64(0x100000001B3) + code[n - 1 :]
             mixed = (h ^ (h >> np.uint64(15))) * np.uint64(0x9E3779B97F4A7C15)
+            # those that end before the segment have been counted with the one before
+            mixed = mixed[max(0, before - n + 1) :]
             total += np.bincount((mixed >> np.uint64(64 - 14)).astype(np.int64), minlength=BUCKETS)
     return total if any_letter else None
 
@@ -146,7 +149,10 @@ def _document_frequencies(rows: DataFrame) -> tuple[np.ndarray, dict[str, int]]:
     got = rows.select("text").mapInArrow(run, "bucket long, df long").groupBy("bucket").agg(F.sum("df").alias("df")).toPandas()
     df = np.zeros(BUCKETS)
     df[got.bucket] = got.df
-    return df, {x.lang: x["count"] for x in rows.groupBy("lang").count().collect()}
+    found = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    return df, {x.lang: x["count"] for x in found}
 
 
 def fit(docs: DataFrame, sample_rows: int = 2000) -> Model:
@@ -162,8 +168,6 @@ def fit(docs: DataFrame, sample_rows: int = 2000) -> Model:
     total = sum(languages.values())
     if not total:
         return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0))
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     idf = np.log((1 + total) / (1 + df)) + 1
     share = max(20, sample_rows // len(languages))
     odds = spark.createDataFrame([(x, min(1.0, share / n)) for x, n in languages.items()], "lang string, odds double")

@@ -1,9 +1,12 @@
 """Quality rules: base limits, then robust multivariate outliers per language and source.
 
 Everything is DataFrame and SQL functions. Each (lang, source) gets a minimum-covariance-determinant
-estimate of centre and scatter of the transformed statistics: from medians and median absolute
-deviations, concentration steps refit mean and covariance on the fraction of rows with the smallest
-distances. Steps are aggregations by group, combined map-side, so a group may hold any share of rows.
+estimate of centre and scatter of the transformed statistics. Four starts are taken from medians
+and median absolute deviations: these alone, the correlations of bounded scores (tanh) and of spatial
+signs, and the half of rows nearest to the medians. Concentration steps refit mean and covariance
+on the fraction of rows with the smallest distances; after FIRST_STEPS of them the two starts of the
+least determinant go on until it falls no more, and the lesser one is taken. Steps are aggregations
+by group and start over all rows, combined map-side, so a group may hold any share of rows.
 Groups of few rows are judged by the estimate of their language, or of all rows.
 """
 
@@ -12,6 +15,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -25,8 +29,12 @@ FEATURES = ["f_words", "f_length", "f_symbols", "f_lines", "f_repeats"]
 WORD_SPREAD = 0.5
 #: Groups of estimates: by language and source, by language (level 1), of all rows (level 2).
 KEY = ["level", "lang", "source"]
-#: Rows that a group needs for an estimate of its own, the fraction that estimates rest on, their steps.
-LEAST_ROWS, KEPT_SHARE, STEPS = 40, 0.75, 3
+#: Entries of a scatter matrix, the lower half.
+PAIRS = [(a, b) for i, a in enumerate(FEATURES) for b in FEATURES[: i + 1]]
+#: Rows that a group needs for an estimate of its own, and the fraction that estimates rest on.
+LEAST_ROWS, KEPT_SHARE = 40, 0.75
+#: Concentration steps of all starts; further ones of the two best at most, and the fall of the log determinant that ends them.
+FIRST_STEPS, MOST_STEPS, FALL = 2, 30, 1e-4
 #: Quantile 0.99999 of chi-square with 1 to 5 degrees of freedom, and its median.
 CUTOFFS, MEDIANS = [19.511, 23.026, 25.902, 28.473, 30.856], [0.455, 1.386, 2.366, 3.357, 4.351]
 
@@ -113,8 +121,9 @@ def _factor(scatter: DataFrame) -> DataFrame:
             inner = reduce(lambda s, k: s - F.col(f"l_{a}_{k}") * F.col(f"l_{b}_{k}"), FEATURES[:j], F.col(f"c_{a}_{b}"))
             value = F.sqrt(F.greatest(inner, least[a] * least[a])) if i == j else inner / F.col(f"l_{b}_{b}")
             out = out.withColumn(f"l_{a}_{b}", value)
-    keep = [f"m_{a}" for a in FEATURES] + [f"l_{a}_{b}" for i, a in enumerate(FEATURES) for b in FEATURES[: i + 1]]
-    return out.select(*KEY, *keep, "dof")
+    keep = [f"m_{a}" for a in FEATURES] + [f"l_{a}_{b}" for a, b in PAIRS]
+    logdet = 2 * sum((F.log(F.col(f"l_{a}_{a}")) for a in FEATURES), F.lit(0.0))
+    return out.select(*KEY, "start", *keep, "dof", logdet.alias("logdet"))
 
 
 def _squared(wide: DataFrame) -> DataFrame:
@@ -129,8 +138,8 @@ def _squared(wide: DataFrame) -> DataFrame:
 
 
 def _distances(rows: DataFrame, fit: DataFrame) -> DataFrame:
-    """rows with their squared distance ``d``."""
-    return _squared(_with(rows, fit)).select(*rows.columns, "d")
+    """rows with their squared distance ``d`` for every start."""
+    return _squared(_with(rows, fit)).select(*rows.columns, "start", "d")
 
 
 def _by_dof(values: list[float]) -> Column:
@@ -165,22 +174,77 @@ def _pooled(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage(out, "levels"), uses
 
 
+def _moments(prefix: str = "") -> list[Column]:
+    return [F.avg(prefix + a).alias(f"m_{a}") for a in FEATURES] + [F.covar_pop(prefix + a, prefix + b).alias(f"c_{a}_{b}") for a, b in PAIRS]
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Centre and scatter of the four starts of every group that gets an estimate."""
+    enough = (F.col("level") == 2) | (F.col("n") >= LEAST_ROWS)
+    centre = stage(rows.groupBy(*KEY).agg(F.count("*").alias("n"), *[_quantile(a, 0.5).alias(f"m_{a}") for a in FEATURES]).filter(enough), "centre")
+    spread = _with(rows, centre).groupBy(*KEY).agg(*[F.first(f"m_{a}").alias(f"m_{a}") for a in FEATURES], *[_quantile(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5).alias(f"s_{a}") for a in FEATURES])
+    least = _resolution(F.expm1("m_f_words"), F.col("m_f_length"))
+    units = stage(spread.withColumns({f"u_{a}": F.greatest(1.4826 * F.col(f"s_{a}"), least[a]) for a in FEATURES}), "units")
+    scored = _with(rows, units).withColumns({f"z_{a}": (F.col(a) - F.col(f"m_{a}")) / F.col(f"u_{a}") for a in FEATURES})
+    scored = scored.withColumn("far", sum((F.col(f"z_{a}") * F.col(f"z_{a}") for a in FEATURES), F.lit(0.0)))
+    signs = {f"g_{a}": F.when(F.col("far") > 0, F.col(f"z_{a}") / F.sqrt("far")).otherwise(0.0) for a in FEATURES}
+    bounded = {f"t_{a}": F.tanh(f"z_{a}") for a in FEATURES}
+    both = [F.avg(F.col(f"{x}_{a}") * F.col(f"{x}_{b}")).alias(f"{x}_{a}_{b}") for x in "tg" for a, b in PAIRS]
+    sums = stage(scored.withColumns({**signs, **bounded}).groupBy(*KEY).agg(_quantile("far", 0.5).alias("edge"), *both), "scores")
+    known = _with(units, sums)
+    keep = [*KEY, *[F.col(f"m_{a}") for a in FEATURES]]
+
+    def like(x: str, start: int) -> DataFrame:
+        """Correlations of the scores x with the features' units."""
+        made = []
+        for a, b in PAIRS:
+            root = F.sqrt(F.col(f"{x}_{a}_{a}") * F.col(f"{x}_{b}_{b}"))
+            made.append((F.when(root > 0, F.col(f"{x}_{a}_{b}") / root).otherwise(0.0) * F.col(f"u_{a}") * F.col(f"u_{b}")).alias(f"c_{a}_{b}"))
+        return known.select(*keep, F.lit(start).alias("start"), *made)
+
+    alone = [(F.pow(1.4826 * F.col(f"s_{a}"), F.lit(2)) if a == b else F.lit(0.0)).alias(f"c_{a}_{b}") for a, b in PAIRS]
+    near = _with(scored.select(*KEY, *FEATURES, "far"), sums.select(*KEY, "edge")).filter("far <= edge").groupBy(*KEY).agg(*_moments())
+    return known.select(*keep, F.lit(0).alias("start"), *alone).unionByName(like("t", 1)).unionByName(like("g", 2)).unionByName(near.withColumn("start", F.lit(3)))
+
+
+def _concentrated(rows: DataFrame, fit: DataFrame) -> DataFrame:
+    """The fit to the rows that are nearest by ``fit``, for every start."""
+    far, by = _distances(rows, fit), [*KEY, "start"]
+    edge = stage(far.groupBy(*by).agg(_quantile("d", KEPT_SHARE).alias("edge")), "edge")
+    both = fit.join(edge.withColumnsRenamed({k: f"__{k}" for k in by}), reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by])).drop(*[f"__{k}" for k in by])
+    near = _squared(_with(rows, both)).filter("d <= edge")
+    return stage(_factor(near.groupBy(*by).agg(*_moments())), "fit")
+
+
+def _least(fits: DataFrame, number: int) -> DataFrame:
+    """The fits of the least determinant of every group; of equal ones the first start's."""
+    place = F.row_number().over(W.partitionBy(*KEY).orderBy("logdet", "start"))
+    return fits.withColumn("place", place).filter(F.col("place") <= number).drop("place")
+
+
+def minimum_determinant(rows: DataFrame) -> DataFrame:
+    """The fit of the least determinant of rows(level, lang, source, features), for groups of enough rows."""
+    fit = stage(_factor(_starts(rows)), "fit")
+    for _ in range(FIRST_STEPS):
+        fit = _concentrated(rows, fit)
+    live, ended = stage(_least(fit, 2), "fit"), []
+    for _ in range(MOST_STEPS):
+        old = live.select(*[F.col(k).alias(f"__{k}") for k in [*KEY, "start"]], F.col("logdet").alias("before"))
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in [*KEY, "start"]])
+        moved = stage(_concentrated(rows, live).join(old, same).drop(*[f"__{k}" for k in [*KEY, "start"]]), "fit")
+        falls = F.col("logdet") < F.col("before") - FALL
+        ended.append(live)
+        live = moved.filter(falls).drop("before")
+        if live.isEmpty():
+            break
+    return stage(_least(reduce(DataFrame.unionByName, ended, live), 1).drop("start"), "fit")
+
+
 def estimate(rows: DataFrame) -> DataFrame:
     """Centre, factor and consistency ``scale`` for every (lang, source): its own, its language's or that of all rows."""
     rows, uses = _pooled(rows)
-    key = KEY
-    enough = (F.col("level") == 2) | (F.col("n") >= LEAST_ROWS)
-    centre = stage(rows.groupBy(*key).agg(F.count("*").alias("n"), *[_quantile(a, 0.5).alias(f"m_{a}") for a in FEATURES]).filter(enough), "centre")
-    spread = _with(rows, centre).groupBy(*key).agg(*[F.first(f"m_{a}").alias(f"m_{a}") for a in FEATURES], *[_quantile(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5).alias(f"s_{a}") for a in FEATURES])
-    diagonal = {f"c_{a}_{b}": F.pow(1.4826 * F.col(f"s_{a}"), F.lit(2)) if a == b else F.lit(0.0) for i, a in enumerate(FEATURES) for b in FEATURES[: i + 1]}
-    fit = stage(_factor(spread.withColumns(diagonal)), "fit")
-    for _ in range(STEPS):
-        far = _distances(rows, fit)
-        edge = stage(far.groupBy(*key).agg(_quantile("d", KEPT_SHARE).alias("edge")), "edge")
-        near = _with(far, edge).filter("d <= edge")
-        moments = [F.avg(a).alias(f"m_{a}") for a in FEATURES] + [F.covar_pop(a, b).alias(f"c_{a}_{b}") for i, a in enumerate(FEATURES) for b in FEATURES[: i + 1]]
-        fit = stage(_factor(near.groupBy(*key).agg(*moments)), "fit")
-    median = _distances(rows, fit).groupBy(*key).agg(_quantile("d", 0.5).alias("median"))
+    fit = minimum_determinant(rows)
+    median = _distances(rows, fit.withColumn("start", F.lit(0))).groupBy(*KEY).agg(_quantile("d", 0.5).alias("median"))
     # where nothing varies beyond its resolution, the resolution is the scale
     scale = F.when((F.col("dof") >= 1) & (F.col("median") > 0), F.col("median") / _by_dof(MEDIANS)).otherwise(1.0)
     found = stage(_with(fit, median).withColumn("scale", scale).drop("median"), "estimate").withColumnsRenamed({"level": "__l", "lang": "__lang", "source": "__source"})

@@ -1,4 +1,4 @@
-"""Command line: ``convert`` a dump, ``validate`` what was written."""
+"""Command line: ``convert`` a dump, ``validate`` what was written, ``summary`` of several outputs."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import json
 import sys
 
 from . import __version__
-from .operators.sink import CHUNK_SIZE, convert
+from .operators.sink import CHUNK_SIZE, convert, summary
 from .operators.validate import validate
 from .session import session
 from .sources import SOURCES
@@ -25,6 +25,8 @@ def parser() -> argparse.ArgumentParser:
     v = commands.add_parser("validate", help="check a .ttl or .nt file, or an output folder")
     v.add_argument("path")
     v.add_argument("-s", "--source", choices=list(SOURCES), default="biosample")
+    m = commands.add_parser("summary", help="manifests of several outputs, and their sum")
+    m.add_argument("outputs", nargs="+", help="source=folder")
     return out
 
 
@@ -34,10 +36,15 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "convert":
         print(json.dumps(convert(spark, args.source, args.input, args.output_dir, args.chunk_size), indent=2))
         return 0
+    if args.command == "summary":
+        for x in summary(spark, dict(x.split("=", 1) for x in args.outputs)).collect():
+            print(*x, sep="\t")
+        return 0
     report = validate(spark, args.path, args.source)
-    print(f"{report.files} files, {report.records} records, {len(report.errors)} errors")
-    for e in report.errors:
-        print(e)
+    print(f"{report.files} files, {report.records} records, {report.error_count} errors")
+    if report.error_count:
+        for e in report.errors.orderBy("path", "line").toLocalIterator():
+            print(f"{e.path}: line {e.line}: {e.message}")
     return 0 if report.ok else 1
 
 

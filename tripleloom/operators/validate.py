@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import io
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import vocab
-from ..sources.archive import files, open_path
+from ..sources.archive import files
 
 #: Of each source: the prefixed class names in Turtle, their IRIs, the subject's prefix and what accessions look like.
 CHECKS = {
@@ -25,64 +23,72 @@ CHECKS = {
 
 @dataclass
 class Report:
+    """``errors`` are rows (path, line, message); None if there was nothing to read."""
+
     files: int = 0
     records: int = 0
-    errors: list[str] = field(default_factory=list)
+    error_count: int = 0
+    errors: DataFrame | None = None
 
     @property
     def ok(self) -> bool:
-        return not self.errors
+        return not self.error_count
+
 
+def _one_of(texts: list[str]) -> str:
+    return "|".join(map(re.escape, texts))
 
-def turtle_errors(lines: Iterator[str], source: str) -> tuple[int, list[str]]:
-    """Records and errors of Turtle lines: empty identifiers, and subjects of an unlikely form."""
+
+def turtle_checks(line: Column, source: str) -> tuple[Column, Column]:
+    """Whether a Turtle line begins a record, and the messages of a bad one: empty identifiers, subjects of an unlikely form."""
     classes, _, prefix, like = CHECKS[source]
-    record = re.compile(rf"^\s*a (?:{'|'.join(map(re.escape, classes))}) [;.]\s*$")
-    subject, good = re.compile(rf"^{prefix}:(\S*)$"), re.compile(like)
-    count, errors = 0, []
-    for n, line in enumerate(lines, 1):
-        count += bool(record.match(line))
-        if 'dct:identifier ""' in line:
-            errors.append(f"line {n}: empty dct:identifier")
-        if (m := subject.match(line.rstrip("\n"))) and not good.match(m[1]):
-            errors.append(f"line {n}: unexpected accession {m[1]!r}")
-    return count, errors
-
-
-def ntriples_errors(lines: Iterator[str], source: str) -> tuple[int, list[str]]:
-    """Records and errors of N-Triples lines: every statement ends in a blank and a full stop."""
-    kinds = tuple(f"<{vocab.RDF_TYPE}> <{iri}> ." for iri in CHECKS[source][1])
-    count, errors = 0, []
-    for n, line in enumerate(lines, 1):
-        text = line.strip()
-        if not text or text.startswith("#"):
-            continue
-        if not text.endswith(" ."):
-            errors.append(f"line {n}: does not end with ' .'")
-        count += text.endswith(kinds) and not text.startswith("_:")
-    return count, errors
-
-
-def validate_files(spark: SparkSession, paths: list[str], source: str) -> DataFrame:
-    """(path, records, errors): files are read by line, many at a time; all errors of each are listed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for path in batch.column(0).to_pylist():
-                system, at = open_path(path)
-                with system.open_input_file(at) as f:
-                    lines = io.TextIOWrapper(io.BufferedReader(f), "utf-8", "replace", newline="\n")
-                    n, errors = (ntriples_errors if path.endswith(".nt") else turtle_errors)(lines, source)
-                rows.append((path, n, errors))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.string()))], ["path", "records", "errors"])
-
-    table = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), 10_000)))
-    return table.mapInArrow(run, "path string, records long, errors array<string>")
+    record = line.rlike(rf"^\s*a (?:{_one_of(classes)}) [;.]\s*$")
+    subject = F.regexp_extract(line, rf"^{prefix}:(\S*)\s*$", 1)
+    unlikely = line.startswith(f"{prefix}:") & line.rlike(rf"^{prefix}:\S*\s*$") & ~subject.rlike(f"^(?:{like})")
+    empty = F.when(line.contains('dct:identifier ""'), F.lit("empty dct:identifier"))
+    return record, F.array(empty, F.when(unlikely, F.concat(F.lit("unexpected accession '"), subject, F.lit("'"))))
+
+
+def ntriples_checks(line: Column, source: str) -> tuple[Column, Column]:
+    """Whether an N-Triples line is a record's type, and the message of one that does not end in a blank and a full stop."""
+    text = F.trim(F.translate(line, "\t\r", "  "))
+    said = (text != "") & ~text.startswith("#")
+    record = text.rlike(rf"^<.*(?:{_one_of([f'<{vocab.RDF_TYPE}> <{iri}> .' for iri in CHECKS[source][1]])})$")
+    return said & record, F.array(F.when(said & ~text.endswith(" ."), F.lit("does not end with ' .'")))
+
+
+def checked_lines(lines: DataFrame, source: str) -> DataFrame:
+    """lines(path, value, ...) with ``is_record`` and ``messages``, by the syntax that the path ends in."""
+    kinds = [ntriples_checks(F.col("value"), source), turtle_checks(F.col("value"), source)]
+    nt = F.col("path").endswith(".nt")
+    return lines.withColumns({"is_record": F.when(nt, kinds[0][0]).otherwise(kinds[1][0]), "messages": F.array_compact(F.when(nt, kinds[0][1]).otherwise(kinds[1][1]))})
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, value, part, place, start): lines that Spark splits, with their order inside a split of a file."""
+    read = spark.read.option("lineSep", "\n").text(paths)
+    ids = F.monotonically_increasing_id()
+    return read.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value", F.shiftright(ids, 33).alias("part"), ids.alias("place"))
+
+
+def validate_files(spark: SparkSession, paths: list[str], source: str) -> tuple[DataFrame, DataFrame]:
+    """(path, records, errors) of each file, and (path, line, message) of every error.
+
+    Files are split like any text. A line's number is its place in its split and the lines of the
+    splits of the file before; those numbers are only made for files that have errors.
+    """
+    lines = checked_lines(_lines(spark, paths), source)
+    split = lines.groupBy("path", "part", "start").agg(F.min("place").alias("first"), F.count("*").alias("n"), F.count_if("is_record").alias("records"), F.sum(F.size("messages")).alias("errors"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("path").orderBy("start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    splits = split.withColumn("before", before)
+    bad = splits.filter("errors > 0").select("path", "part", "start", "first", "before")
+    errors = lines.filter(F.size("messages") > 0).join(bad, ["path", "part", "start"])
+    errors = errors.select("path", (F.col("place") - F.col("first") + F.col("before") + 1).alias("line"), F.explode("messages").alias("message"))
+    return split.groupBy("path").agg(F.sum("records").alias("records"), F.sum("errors").alias("errors")), errors
 
 
 def validate(spark: SparkSession, path: str, source: str = "biosample") -> Report:
-    """Check a file, or the ttl and nt files of an output folder, in the order of their names."""
+    """Check a file, or the ttl and nt files of an output folder. Errors stay rows; no more than counts come here."""
     if path.endswith((".ttl", ".nt")):
         paths = [path]
     else:
@@ -94,12 +100,11 @@ def validate(spark: SparkSession, path: str, source: str = "biosample") -> Repor
                 continue
         if not paths and "." in path.rsplit("/", 1)[-1]:
             raise ValueError(f"{path}: not a folder, .ttl or .nt file")
-    report = Report(len(paths))
-    if paths:
-        for x in validate_files(spark, paths, source).orderBy("path").collect():
-            report.records += x.records
-            report.errors += [f"{x.path}: {e}" for e in x.errors]
-    return report
+    if not paths:
+        return Report()
+    counted, errors = validate_files(spark, paths, source)
+    total = counted.agg(F.sum("records").alias("records"), F.sum("errors").alias("errors")).first()
+    return Report(len(paths), total.records or 0, total.errors or 0, errors)
 
 
 # --- shapes --------------------------------------------------------------------------------------
@@ -110,6 +115,12 @@ def of_class(triples: DataFrame, cls: str) -> DataFrame:
     return triples.filter((F.col("p") == vocab.RDF_TYPE) & (F.col("o") == cls)).select("s").distinct()
 
 
+def not_of_class(triples: DataFrame, classes: list[str], namespace: str) -> DataFrame:
+    """(s): subjects within a namespace that are of none of the classes, so that no shape fits them; one aggregation by s."""
+    isa = (F.col("p") == vocab.RDF_TYPE) & F.col("o").isin(*classes)
+    return triples.filter(F.col("s").startswith(namespace)).groupBy("s").agg(F.max(isa).alias("member")).filter(~F.col("member")).select("s")
+
+
 def cardinality(triples: DataFrame, cls: str, predicate: str, least: int = 1, most: int | None = 1) -> DataFrame:
     """(s, n): resources of a class with fewer or more different values than allowed; one aggregation by s."""
     found = triples.filter((F.col("p") == predicate) | ((F.col("p") == vocab.RDF_TYPE) & (F.col("o") == cls))).select("s", "p", "o", "o_datatype").distinct()

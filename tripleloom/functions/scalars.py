@@ -61,13 +61,15 @@ def escape(c: Column | str) -> Column:
 
 
 def unescape(c: Column | str) -> Column:
-    """The inverse of :func:`escape`; NUL stands for a backslash on the way."""
-    return _replaced(col(c), [("\\\\", "\0"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\0", "\\")])
+    """The inverse of :func:`escape`: between escaped backslashes, every other escape stands for itself."""
+    parts = F.split(col(c), r"\\\\", -1)
+    back = lambda x: _replaced(x, [('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")])
+    return F.when(F.contains(col(c), F.lit("\\")), F.array_join(F.transform(parts, back), "\\")).otherwise(col(c))
 
 
 def decimal_text(c: Column | str) -> Column:
     """A double without exponent and without a fraction of zeros."""
-    return F.replace(F.call_function("format_number", col(c), F.lit("0.################")), F.lit(","), F.lit(""))
+    return F.replace(F.call_function("format_number", col(c), F.lit("0." + "#" * 340)), F.lit(","), F.lit(""))
 
 
 def parse_decimal(c: Column | str) -> Column:
@@ -80,8 +82,14 @@ def typed_literal(c: Column | str, datatype: str) -> Column:
 
 
 def bnode(accession: Column | str, label: str) -> Column:
-    """A blank node's label, the same on every attempt: records have at most one node of a kind."""
-    return F.concat(F.lit("_:"), F.regexp_replace(col(accession), "[^A-Za-z0-9]", "_"), F.lit(f"_{label}"))
+    """A blank node's label, the same on every attempt: records have at most one node of a kind.
+
+    Other characters of an accession than letters and digits are the hex digits of their bytes, each after an
+    underscore, so that different accessions have different labels.
+    """
+    hexed = lambda x: F.when(x.rlike("^[A-Za-z0-9]$"), x).otherwise(F.regexp_replace(F.hex(F.encode(x, "UTF-8")), "(..)", "_$1"))
+    plain = F.array_join(F.transform(F.regexp_extract_all(col(accession), F.lit("(?s)(.)"), F.lit(1)), hexed), "")
+    return F.concat(F.lit("_:"), F.when(col(accession).rlike("^[A-Za-z0-9]*$"), col(accession)).otherwise(plain), F.lit(f"_{label}"))
 
 
 def chunk_name(c: Column | str) -> Column:

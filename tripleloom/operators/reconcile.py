@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,12 +63,13 @@ def turtle_blocks(lines: DataFrame) -> DataFrame:
     return lines.select(F.regexp_extract("value", r"^(\S+)\n", 1).alias("subject"), F.col("value").alias("block")).filter("subject <> '' AND subject <> '@prefix'")
 
 
-def block_field(block: Column | str, predicate: str) -> Column:
-    """A field of a Turtle block: a literal unescaped, or the local name of a term."""
+def block_field(block: Column | str, predicate: str, namespace: str = vocab.DRA_ONT) -> Column:
+    """A field of a Turtle block: a literal unescaped, or the local name of a term, also one written as an IRI of the namespace."""
     c = F.col(block) if isinstance(block, str) else block
     literal = F.regexp_extract(c, rf'(?m)^\s*{predicate} "((?:[^"\\]|\\.)*)"', 1)
-    term = F.regexp_extract(c, rf"(?m)^\s*{predicate} (?:\w+:(\S+)|<\S*[/#](\S+)>)", 1)
-    return F.coalesce(F.nullif(S.unescape(literal), F.lit("")), F.nullif(term, F.lit("")))
+    term = F.regexp_extract(c, rf"(?m)^\s*{predicate} \w+:(\S+)", 1)
+    full = F.regexp_extract(c, rf"(?m)^\s*{predicate} <{re.escape(namespace)}(\S+)>", 1)
+    return F.coalesce(F.nullif(S.unescape(literal), F.lit("")), F.nullif(term, F.lit("")), F.nullif(full, F.lit("")))
 
 
 PREDICATES = {"identifier": vocab.DCT + "identifier", "title": vocab.DRA_ONT + "title"}

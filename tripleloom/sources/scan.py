@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import scalars as S
-from .archive import register
+from .archive import files, open_path, register
 
 SRA_COLUMNS = {"accession": 0, "submission": 1, "updated": 3, "published": 4, "sra_type": 6, "center": 7, "experiment": 10, "sample": 11, "study": 12, "biosample": 17, "bioproject": 18}
-ARITY = 20
+ARITY, HEADER = 20, "Accession\t"
 _TEXT = "string"
 BIOSAMPLE_XML = """_accession string, _submission_date string, _last_update string, _publication_date string, Description struct<Title: string>,
 Attributes struct<Attribute: array<struct<_attribute_name: string, _harmonized_name: string, _display_name: string, _VALUE: string>>>, _corrupt_record string"""
@@ -46,13 +46,15 @@ def _result(rows: DataFrame, record: Column, accession: Column, error: Column, m
     return Parsed(rows.select("file", accession.alias("accession"), F.when(error.isNull(), record).alias("record"), error.alias("error"), F.when(error.isNotNull(), message).alias("message")))
 
 
-def sra_rows(lines: DataFrame) -> Parsed:
+def sra_rows(lines: DataFrame, header: Column | None = None) -> Parsed:
     """Accession rows from ``lines(file, value)``: blank and header lines go, then rows by arity, status and type.
 
+    ``header`` tells header lines; without it they are those that begin with the first column's name.
     Short rows and live rows of an unknown type are errors; rows that are not live go without a trace.
     """
     text = F.regexp_replace("value", "[\r\n]+$", "")
-    rows = lines.select("file", text.alias("value")).filter((F.length("value") > 0) & ~F.col("value").startswith("Accession\t"))
+    head = F.col("value").startswith(HEADER) if header is None else header
+    rows = lines.withColumns({"value": text, "head": head}).filter((F.length("value") > 0) & ~F.col("head"))
     rows = rows.select("file", F.split("value", "\t", -1).alias("f"))
     short = F.size("f") < ARITY
     at = lambda i: F.get("f", F.lit(i))
@@ -66,7 +68,7 @@ def sra_rows(lines: DataFrame) -> Parsed:
 
 def _lines(spark: SparkSession, path: str, end: str | None = None) -> DataFrame:
     reader = spark.read.option("lineSep", end) if end else spark.read
-    return reader.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    return reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
 
 def _pieces(rows: DataFrame, tag: str) -> DataFrame:
@@ -96,17 +98,34 @@ def _checked(accession: Column) -> tuple[Column, Column]:
     return error, F.when(broken, F.concat(F.lit("not well-formed: "), F.substring("xml", 1, 200))).otherwise("record without accession")
 
 
+def _times(tag: str, column: str = "xml") -> Column:
+    """How often a text occurs in a column."""
+    return (F.length(column) - F.length(F.replace(column, F.lit(tag), F.lit("")))) / len(tag)
+
+
 def biosample_rows(pieces: DataFrame) -> Parsed:
+    """Titles and attributes may stand under any child of the record. Nearly all are under Description and
+    Attributes, which the schema has; only rows that have others are looked through again.
+    """
     rows = _xml(_pieces(pieces, "BioSample"), BIOSAMPLE_XML)
+    title = F.col("x.Description.Title")
+    titles = F.filter(F.xpath("xml", F.lit("/BioSample/*/Title/text()")), lambda t: F.trim(t) != "")
+    more_titles = _times("<Title") > F.when(title.isNotNull(), 1).otherwise(0)
+    title = F.when(more_titles, F.trim(F.get(titles, F.size(titles) - 1))).otherwise(_filled(title))
+    known = F.col("x.Attributes.Attribute")
+    each = F.regexp_extract_all("xml", F.lit(r"""(?s)(<Attribute\s(?:[^>"']|"[^"]*"|'[^']*')*(?:/>|(?<!/)>.*?</Attribute>))"""), F.lit(1))
+    again = F.from_xml(F.concat(F.lit("<BioSample><Attributes>"), F.array_join(each, ""), F.lit("</Attributes></BioSample>")), BIOSAMPLE_XML)
+    more = _times("<Attribute ") > F.coalesce(F.size(known), F.lit(0))
+    rows = rows.withColumn("all_attributes", F.when(F.col("x").isNotNull() & F.col("x._corrupt_record").isNull() & more, again["Attributes"]["Attribute"]).otherwise(known))
     attribute = lambda a: F.struct(a["_attribute_name"].alias("attribute_name"), a["_harmonized_name"].alias("harmonized_name"), a["_display_name"].alias("display_name"), _filled(a["_VALUE"]).alias("value"))
-    named = F.filter("x.Attributes.Attribute", lambda a: F.coalesce(a["_harmonized_name"], a["_attribute_name"]).isNotNull())
+    named = F.filter("all_attributes", lambda a: F.coalesce(a["_harmonized_name"], a["_attribute_name"]).isNotNull())
     attributes = F.coalesce(F.transform(named, attribute), F.array().cast("array<struct<attribute_name:string,harmonized_name:string,display_name:string,value:string>>"))
     record = F.struct(
         F.col("x._accession").alias("accession"),
         F.col("x._submission_date").alias("submission_date"),
         F.col("x._last_update").alias("last_update"),
         F.col("x._publication_date").alias("publication_date"),
-        _filled(F.col("x.Description.Title")).alias("title"),
+        title.alias("title"),
         attributes.alias("attributes"),
     )
     return _result(rows, record, F.col("x._accession"), *_checked(F.col("x._accession")))
@@ -136,11 +155,13 @@ def experiment_rows(members: DataFrame) -> Parsed:
     each = members.select("file", F.explode(F.split("value", "</EXPERIMENT>")).alias("value"))
     rows = _xml(_pieces(each, "EXPERIMENT"), EXPERIMENT_XML)
     library = "x.DESIGN.LIBRARY_DESCRIPTOR"
-    vendor = F.regexp_extract("xml", r"(?s)<PLATFORM>\s*<(?!INSTRUMENT_MODEL)([A-Za-z_][\w.-]*)", 1)
-    model = F.regexp_extract("xml", r"(?s)<PLATFORM>.*?<INSTRUMENT_MODEL>\s*([^<]*?)\s*</INSTRUMENT_MODEL>", 1)
+    # what these patterns look at has no comments
+    rows = rows.withColumn("clean", F.when(F.contains("xml", F.lit("<!--")), F.regexp_replace("xml", "(?s)<!--.*?-->", "")).otherwise(F.col("xml")))
+    vendor = F.regexp_extract("clean", r"(?s)<PLATFORM>\s*<(?!INSTRUMENT_MODEL)([A-Za-z_][\w.-]*)", 1)
+    model = F.regexp_extract("clean", r"(?s)<PLATFORM>.*?<INSTRUMENT_MODEL>\s*([^<]*?)\s*</INSTRUMENT_MODEL>", 1)
     layout = r"(?s)<LIBRARY_LAYOUT>\s*<(SINGLE|PAIRED)\b([^>]*)>"
-    sized = lambda n: S.parse_decimal(F.regexp_extract(F.regexp_extract("xml", layout, 2), rf"{n}\s*=\s*[\"']([^\"']*)[\"']", 1))
-    kind = _filled(F.regexp_extract("xml", layout, 1))
+    sized = lambda n: S.parse_decimal(F.regexp_extract(F.regexp_extract("clean", layout, 2), rf"{n}\s*=\s*[\"']([^\"']*)[\"']", 1))
+    kind = _filled(F.regexp_extract("clean", layout, 1))
     paired = F.when(kind == "PAIRED", F.lit(True))
     record = F.struct(
         F.col("x._accession").alias("accession"),
@@ -155,13 +176,27 @@ def experiment_rows(members: DataFrame) -> Parsed:
 
 
 def _unescaped(c: Column) -> Column:
-    for name, text in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(name), F.lit(text))
-    return c
+    """Character references in a text, by the XML parser."""
+    parsed = F.from_xml(F.concat(F.lit("<r><t>"), c, F.lit("</t></r>")), "t string")["t"]
+    return F.when(F.contains(c, F.lit("&")), parsed).otherwise(c)
+
+
+def _headers(path: str) -> list[str]:
+    """The different first lines of files that begin with a header, blank lines before it aside."""
+    found = set()
+    for file in files(path):
+        system, at = open_path(file)
+        with system.open_input_stream(at) as f:
+            first = next((line for line in f.read(1 << 16).decode("utf-8", "replace").split("\n") if line.strip("\r")), "")
+        if first.startswith(HEADER):
+            found.add(first.rstrip("\r"))
+    return sorted(found)
 
 
 def read_sra(spark: SparkSession, path: str) -> Parsed:
-    return sra_rows(_lines(spark, path))
+    """A file's first line that is not blank may be a header; a later line like it, further on than the first split, is a row."""
+    header = (F.col("start") == 0) & F.regexp_replace("value", "\r+$", "").isin(_headers(path))
+    return sra_rows(_lines(spark, path), header)
 
 
 def read_biosample(spark: SparkSession, path: str) -> Parsed:

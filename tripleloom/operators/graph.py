@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -11,22 +11,26 @@ TERM = ["s", "p", "o", "o_kind", "o_datatype"]
 
 
 def dedup(triples: DataFrame) -> DataFrame:
-    """A graph is a set: equal statements count once."""
+    """A graph is a set: equal statements count once.
+
+    For triples as they are stored. Those of records come without repeats, and without a shuffle of
+    their texts, from :meth:`~tripleloom.operators.mapping.Mapping.distinct_triples`.
+    """
     return triples.select(*TERM).distinct()
 
 
-def type_counts(triples: DataFrame) -> DataFrame:
-    """(class, n), most frequent first. Types are filtered before they are made different."""
-    kinds = dedup(triples.filter(F.col("p") == vocab.RDF_TYPE))
-    return kinds.groupBy(F.col("o").alias("class")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "class")
+def type_counts(triples: DataFrame, distinct: bool = False) -> DataFrame:
+    """(class, n), most frequent first. Types are filtered before they are made different, unless they are already."""
+    kinds = triples.filter(F.col("p") == vocab.RDF_TYPE)
+    return (kinds if distinct else dedup(kinds)).groupBy(F.col("o").alias("class")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "class")
 
 
-def triple_count(triples: DataFrame) -> DataFrame:
-    return dedup(triples).agg(F.count("*").alias("n"))
+def triple_count(triples: DataFrame, distinct: bool = False) -> DataFrame:
+    return (triples if distinct else dedup(triples)).agg(F.count("*").alias("n"))
 
 
-def predicate_distribution(triples: DataFrame) -> DataFrame:
-    return dedup(triples).groupBy("p").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "p")
+def predicate_distribution(triples: DataFrame, distinct: bool = False) -> DataFrame:
+    return (triples if distinct else dedup(triples)).groupBy("p").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "p")
 
 
 def spot_lookup(triples: DataFrame, subject: str) -> DataFrame:
@@ -42,6 +46,12 @@ def crosslink_subjects(triples: DataFrame, namespace: str, predicate: str = voca
     return triples.filter((F.col("p") == predicate) & F.col("o").startswith(namespace)).agg(F.countDistinct("s").alias("n"))
 
 
+def record_links(records: DataFrame, s: Column, member: Column, links: tuple[Column, ...], namespaces: dict[str, str]) -> DataFrame:
+    """What :func:`links_by_class` gives, from records that have the links as columns: a row a record, not one a link."""
+    into = [F.least(*[F.when(i.startswith(ns), i) for i in links], F.lit(None).cast("string")).alias(n) for n, ns in namespaces.items()]
+    return records.filter(member).select(s.alias("s"), *into).groupBy("s").agg(*[F.min(n).alias(n) for n in namespaces])
+
+
 def links_by_class(triples: DataFrame, cls: str, namespaces: dict[str, str], predicate: str = vocab.RDFS + "seeAlso") -> DataFrame:
     """(s, a column a namespace): the least link of every resource of a class into each namespace; one aggregation by s."""
     isa = (F.col("p") == vocab.RDF_TYPE) & (F.col("o") == cls)

@@ -6,6 +6,7 @@ derived from that one list, as Column expressions over the record.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -80,6 +81,8 @@ class Mapping:
     context: dict[str, str] = field(default_factory=dict)
     #: A prefix that is written as a bare colon in Turtle and not at all in JSON-LD.
     default: str | None = None
+    #: The rows of a key given as text, by a filter that reaches the scan; by default the key's expression is compared.
+    having: Callable[[str], Column] | None = None
 
     def full(self, name: str) -> str:
         prefix, _, local = name.partition(":")
@@ -149,6 +152,28 @@ class Mapping:
         """
         return records.select(F.lit(self.source).alias("source"), F.inline(self._said_rows(predicates))).filter(F.col("s").isNotNull())
 
+    def of_subject(self, records: DataFrame, subject: str) -> DataFrame | None:
+        """The triples of one subject, None if its IRI is not in this mapping's namespace; only its records are mapped."""
+        namespace = self.prefixes[self.subject_prefix]
+        if not subject.startswith(namespace):
+            return None
+        key = subject.removeprefix(namespace)
+        rows = records.filter(self.having(key) if self.having else self.key == key)
+        return self.triples(rows).filter(F.col("s") == subject)
+
+    def distinct_triples(self, records: DataFrame, predicates: set[str] | None = None) -> DataFrame:
+        """The triples, each once, as (source, s, p, o, o_kind, o_datatype).
+
+        A subject belongs to one key, so equal triples only come from one record, or from records of one key.
+        The keys alone are shuffled to find those that occur more than once; such records are the only
+        ones of which the triples are compared with each other.
+        """
+        keyed = records.withColumn("__key", self.key)
+        often = keyed.groupBy("__key").count().filter("count > 1").select("__key")
+        alone = keyed.join(often, "__key", "left_anti")
+        once = alone.select(F.lit(self.source).alias("source"), F.inline(F.array_distinct(self._said_rows(predicates)))).filter(F.col("s").isNotNull())
+        return once.unionByName(self.triples(keyed.join(often, "__key", "left_semi"), predicates).distinct())
+
     # --- N-Triples -------------------------------------------------------------------------------
 
     def ntriples(self) -> Column:

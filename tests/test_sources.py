@@ -162,11 +162,13 @@ def test_convert_and_validate(spark, dumps, tmp_path, size, chunks):
     assert [x["dct:identifier"] for x in records] == ["R1", "A1", "T1"]
     assert (tmp_path / "out/ttl/chunk_0000.ttl").read_text().startswith("@prefix insdc_sra: <")
     assert sink.load_progress(out)["records_processed"] == 3 and sink.load_progress(str(tmp_path)) is None
-    assert (tmp_path / "out/errors.log").read_text().count("TsvParse") == 4
+    assert spark.read.text(f"{out}/errors.log").filter("value LIKE 'TsvParse: %'").count() == 4
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["errors.log", "jsonld", "manifest.json", "nt", "progress.json", "ttl"]
     report = validate.validate(spark, out, "sra")
     assert (report.files, report.records, report.ok) == (2 * chunks, 6, True)
-    (tmp_path / "out/nt/chunk_0000.nt").write_text("<a> <b> <c>\n")
-    assert "line 1" in validate.validate(spark, out, "sra").errors[0]
+    (tmp_path / "out/nt/chunk_0000.nt").write_text("<a> <b> <c> .\n\n<a> <b> <c>\n")
+    bad = validate.validate(spark, out, "sra")
+    assert bad.error_count == 1 and [(r.line, r.message) for r in bad.errors.collect()] == [(3, "does not end with ' .'")]
     assert validate.validate(spark, str(tmp_path / "none"), "sra").files == 0
 
 
@@ -239,5 +241,106 @@ def test_validate_lists_every_error(spark, tmp_path):
 
     path = tmp_path / "broken.nt"
     path.write_text("".join(f"<s{i}> <p> <o>\n" for i in range(2500)))
-    report = validate(spark, str(path), "sra")
-    assert len(report.errors) == 2500 and report.errors[-1].endswith("line 2500: does not end with ' .'")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")  # many splits of one file
+    try:
+        report = validate(spark, str(path), "sra")
+        assert report.error_count == 2500 and sorted(r.line for r in report.errors.collect()) == list(range(1, 2501))
+        assert {r.message for r in report.errors.collect()} == {"does not end with ' .'"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("size", [7, 100, 5000])
+def test_chunks_over_many_partitions(spark, tmp_path, size):
+    """Chunk files hold the records in order, whatever partitions they come from."""
+    rows = [row(f"R{i:05d}", "live", "RUN") for i in range(1234)]
+    for k in range(5):
+        (tmp_path / f"in{k}.tab").write_text("\n".join([HEADER, *rows[250 * k : 250 * (k + 1)]]))
+    (tmp_path / "d").mkdir()
+    for k in range(5):
+        (tmp_path / f"in{k}.tab").rename(tmp_path / f"d/in{k}.tab")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        made = sink.convert(spark, "sra", str(tmp_path / "d"), str(tmp_path / "o"), size)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert made["total_records"] == 1234 and made["total_chunks"] == -(-1234 // size)
+    counts, every = [], []
+    for p in sorted((tmp_path / "o/jsonld").iterdir()):
+        ids = [x["dct:identifier"] for x in json.loads(p.read_text())]
+        nt = [x.split()[0][len(vocab.SRA) + 1 : -1] for x in p.parent.parent.joinpath("nt", p.stem + ".nt").read_text().splitlines() if vocab.RDF_TYPE in x]
+        ttl = p.parent.parent.joinpath("ttl", p.stem + ".ttl").read_text()
+        assert nt == ids and ttl.startswith("@prefix") and ttl.count("@prefix insdc_sra:") == 1 and [x[10:] for x in ttl.splitlines() if x.startswith("insdc_sra:")] == ids
+        counts.append(len(ids))
+        every += ids
+    assert sorted(every) == [f"R{i:05d}" for i in range(1234)] and counts[:-1] == [size] * (len(counts) - 1)
+
+
+def test_header_is_the_first_line_only(spark, tmp_path):
+    (tmp_path / "a.tab").write_text("\n\n" + "\n".join([HEADER, "Accession\tshort", row("R1", "live", "RUN"), "Accession\t" + row("x", "live", "RUN").split("\t", 1)[1]]))
+    got = read_source(spark, "sra", str(tmp_path / "a.tab"))
+    assert sorted(r.accession for r in got.records.collect()) == ["Accession", "R1"]
+    assert [r.message for r in got.errors.collect()] == ["expected 20 columns, got 2"]
+
+
+def test_biosample_children_under_any_parent(spark, tmp_path):
+    (tmp_path / "b.xml").write_text("""<S><BioSample accession="A1"><Other><Title>first</Title></Other><Description><Title>last</Title></Description><More><Attribute attribute_name="x"/><Attribute attribute_name="y" harmonized_name="h">v &amp; w</Attribute></More><Attributes><Attribute attribute_name="z">1</Attribute></Attributes></BioSample>
+<BioSample accession="A2"><Description><Title>one</Title></Description><Names><Title>two</Title><Title></Title></Names></BioSample></S>""")
+    rows = {r.accession: r for r in read_source(spark, "biosample", str(tmp_path / "b.xml")).records.collect()}
+    assert rows["A1"].title == "last" and rows["A2"].title == "two"
+    assert [(a.attribute_name, a.harmonized_name, a["value"]) for a in rows["A1"].attributes] == [("x", None, None), ("y", "h", "v & w"), ("z", None, "1")]
+
+
+def test_experiments_against_another_parser(spark, tmp_path):
+    """Fields by ElementTree, written without the scan's own rules."""
+    from xml.etree import ElementTree
+
+    from tripleloom.plans import dumps
+
+    path = dumps.experiments(spark, "/root/testdata/sf0.001")
+    want = {}
+    for name in reconcile_files(path):
+        with tarfile.open(name) as tar:
+            for member in tar:
+                if member.name.endswith(".experiment.xml"):
+                    for e in ElementTree.parse(tar.extractfile(member)).getroot():
+                        text = lambda x, e=e: (e.findtext(f".//{x}") or "").strip() or None
+                        vendor, layout = next(iter(e.find("PLATFORM"))), next(iter(e.find(".//LIBRARY_LAYOUT")))
+                        want[e.get("accession")] = (text("TITLE"), text("DESIGN_DESCRIPTION"), text("LIBRARY_NAME"), text("LIBRARY_STRATEGY"), text("LIBRARY_SELECTION"), vendor.tag, text("INSTRUMENT_MODEL"), layout.tag, layout.get("NOMINAL_LENGTH") and float(layout.get("NOMINAL_LENGTH")))
+    rows = read_source(spark, "sra-experiment", path).records.collect()
+    assert len(rows) == len(want) > 100
+    for r in rows:
+        assert want[r.accession] == (r.title, r.design_description, r.library_name, r.library_strategy, r.library_selection, r.platform, r.instrument_model, r.library_layout.kind, r.library_layout.nominal_length)
+
+
+def reconcile_files(path):
+    from tripleloom.sources.archive import files
+
+    return [x.removeprefix("file://") for x in files(path)]
+
+
+def test_scalars(spark):
+    from pyspark.sql import functions as F
+
+    from tripleloom.functions import scalars
+
+    texts = ["a\0b", "\\", "\\\\n", 'q"\\"', "tab\t\r\n", "\\t", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(scalars.unescape(scalars.escape("t"))).collect()] == texts
+    numbers = spark.createDataFrame([(1e-20,), (2.0,), (0.1,), (1e22,), (123456789.125,)], "x double")
+    assert [r[0] for r in numbers.select(scalars.decimal_text("x")).collect()] == ["0.00000000000000000001", "2", "0.1", "1" + "0" * 22, "123456789.125"]
+    keys = spark.createDataFrame([("A-1",), ("A_1",), ("A1",), ("A2D1",), ("Ä",)], "k string")
+    labels = [r[0] for r in keys.select(scalars.bnode(F.col("k"), "make")).collect()]
+    assert len(set(labels)) == 5 and all(x.replace("_:", "").replace("_", "").isalnum() and x.isascii() for x in labels)
+
+
+def test_statements_are_distinct(spark):
+    m = MAPPINGS["sra"]()
+    lines = spark.createDataFrame([("f", row("R1", "live", "RUN", ("X1", "X1", "-", "-", "-"))), ("f", row("R2", "live", "RUN")), ("f", row("R2", "live", "RUN")), ("f", row("R2", "live", "STUDY"))], "file string, value string")
+    from tripleloom.sources.scan import sra_rows
+
+    records = sra_rows(lines).records
+    got = m.distinct_triples(records).collect()
+    assert len(got) == len(set(got)) and set(got) == set(m.triples(records).collect())
+    one = m.of_subject(records, vocab.SRA + "R2")
+    assert {r.s for r in one.collect()} == {vocab.SRA + "R2"} and m.of_subject(records, "http://elsewhere/R2") is None

@@ -7,6 +7,7 @@ triples by the same :class:`~tripleloom.operators.mapping.Mapping` as the dumps.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +48,23 @@ def text(name: str) -> Column:
 # --- mappings of the star schema ---------------------------------------------------------------
 
 
-def _mapping(source: str, prefix: str, key: Column, cls: Column, *statements) -> Mapping:
-    return Mapping(source, PREFIXES, prefix, key, ("ont", cls), statements, {"ont": NS + "ont/", "dct": vocab.DCT, "rdfs": vocab.RDFS, "xsd": vocab.XSD})
+def _mapping(source: str, prefix: str, key: Column, cls: Column, *statements, having=None) -> Mapping:
+    return Mapping(source, PREFIXES, prefix, key, ("ont", cls), statements, {"ont": NS + "ont/", "dct": vocab.DCT, "rdfs": vocab.RDFS, "xsd": vocab.XSD}, having=having)
+
+
+def _numbered(*columns: str):
+    """Keys of numbers as comparisons of the columns themselves, which a scan can use."""
+
+    def having(key: str) -> Column:
+        parts = key.split("-")
+        if len(parts) != len(columns) or any(not p.isdecimal() or p != str(int(p)) for p in parts):
+            return F.lit(False)
+        out = F.lit(True)
+        for name, p in zip(columns, parts, strict=True):
+            out = out & (c(name) == int(p))
+        return out
+
+    return having
 
 
 STATUS = {"F": "FilledOrder", "O": "OpenOrder", "P": "PendingOrder"}
@@ -56,16 +72,16 @@ STATUS = {"F": "FilledOrder", "O": "OpenOrder", "P": "PendingOrder"}
 
 def orders_mapping() -> Mapping:
     links = (S.iri(NS + "customer/", text("o_custkey")),)
-    return _mapping("orders", "order", text("o_orderkey"), S.lookup("o_orderstatus", STATUS), Text("dct:identifier", text("o_orderkey")), Text("dct:issued", F.date_format("o_orderdate", "yyyy-MM-dd"), "xsd:date"), Term("ont:priority", "ont", S.uri_local("o_orderpriority")), Links("rdfs:seeAlso", links))
+    return _mapping("orders", "order", text("o_orderkey"), S.lookup("o_orderstatus", STATUS), Text("dct:identifier", text("o_orderkey")), Text("dct:issued", F.date_format("o_orderdate", "yyyy-MM-dd"), "xsd:date"), Term("ont:priority", "ont", S.uri_local("o_orderpriority")), Links("rdfs:seeAlso", links), having=_numbered("o_orderkey"))
 
 
 def customer_mapping() -> Mapping:
     links = (S.iri(NS + "nation/", text("c_nationkey")),)
-    return _mapping("customer", "customer", text("c_custkey"), F.lit("Customer"), Text("dct:identifier", text("c_custkey")), Text("rdfs:label", S.nonempty("c_name")), Text("ont:segment", c("c_mktsegment")), Links("rdfs:seeAlso", links))
+    return _mapping("customer", "customer", text("c_custkey"), F.lit("Customer"), Text("dct:identifier", text("c_custkey")), Text("rdfs:label", S.nonempty("c_name")), Text("ont:segment", c("c_mktsegment")), Links("rdfs:seeAlso", links), having=_numbered("c_custkey"))
 
 
 def part_mapping() -> Mapping:
-    return _mapping("part", "part", text("p_partkey"), F.lit("Part"), Text("rdfs:label", S.composed_label(text("p_partkey"), "p_name")), Text("dct:identifier", text("p_partkey")), Text("ont:price", S.decimal_text("p_retailprice"), "xsd:decimal"))
+    return _mapping("part", "part", text("p_partkey"), F.lit("Part"), Text("rdfs:label", S.composed_label(text("p_partkey"), "p_name")), Text("dct:identifier", text("p_partkey")), Text("ont:price", S.decimal_text("p_retailprice"), "xsd:decimal"), having=_numbered("p_partkey"))
 
 
 def nested_mapping() -> Mapping:
@@ -78,8 +94,11 @@ def nested_mapping() -> Mapping:
 
 def lineitem_mapping() -> Mapping:
     key = F.concat_ws("-", text("l_orderkey"), text("l_linenumber"))
-    links = (S.iri(NS + "order/", text("l_orderkey")), S.iri(NS + "part/", text("l_partkey")), S.iri(NS + "supplier/", text("l_suppkey")))
-    return _mapping("lineitem", "item", key, F.lit("LineItem"), Text("dct:identifier", key), Links("rdfs:seeAlso", links))
+    return _mapping("lineitem", "item", key, F.lit("LineItem"), Text("dct:identifier", key), Links("rdfs:seeAlso", lineitem_links()), having=_numbered("l_orderkey", "l_linenumber"))
+
+
+def lineitem_links() -> tuple[Column, ...]:
+    return (S.iri(NS + "order/", text("l_orderkey")), S.iri(NS + "part/", text("l_partkey")), S.iri(NS + "supplier/", text("l_suppkey")))
 
 
 MAPPED = {"orders": orders_mapping, "customer": customer_mapping, "part": part_mapping, "lineitem": lineitem_mapping}
@@ -97,6 +116,12 @@ def all_triples(spark: SparkSession, sf_dir: str, *names: str, predicates: tuple
     return out
 
 
+def all_statements(spark: SparkSession, sf_dir: str, *predicates: str) -> DataFrame:
+    """The triples of all mappings, each once; subjects of different mappings are in different namespaces."""
+    parts = [MAPPED[name]().distinct_triples(table(spark, sf_dir, name), set(predicates) or None) for name in MAPPED]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _sql(source: str, s: str, cls: str, *rows: tuple[str, str, str, str | None]) -> str:
     """Triples as a union: (predicate, object, kind, datatype) each, rows without an object left out."""
     parts = []
@@ -352,22 +377,25 @@ def manifest(spark, d):
 
 @query(_ALL + f"SELECT o AS class, count(*) AS n FROM t WHERE p = '{vocab.RDF_TYPE}' GROUP BY o")
 def type_counts(spark, d):
-    return graph.type_counts(all_triples(spark, d, predicates=(vocab.RDF_TYPE,)))
+    return graph.type_counts(all_statements(spark, d, vocab.RDF_TYPE), distinct=True)
 
 
 @query(_ALL + "SELECT count(*) AS n FROM t")
 def triple_count(spark, d):
-    return graph.triple_count(all_triples(spark, d))
+    return graph.triple_count(all_statements(spark, d), distinct=True)
 
 
 @query(_ALL + "SELECT p, count(*) AS n FROM t GROUP BY p")
 def predicate_dist(spark, d):
-    return graph.predicate_distribution(all_triples(spark, d))
+    return graph.predicate_distribution(all_statements(spark, d), distinct=True)
 
 
 @query(_ALL + f"SELECT p, o FROM t WHERE s = '{NS}order/1'")
 def spot_lookup(spark, d):
-    return graph.spot_lookup(all_triples(spark, d), NS + "order/1")
+    """The key is compared in the scan, and tables of other namespaces are not read."""
+    subject = NS + "order/1"
+    found = [MAPPED[name]().of_subject(table(spark, d, name), subject) for name in MAPPED]
+    return graph.spot_lookup(reduce(DataFrame.unionByName, [x for x in found if x is not None]), subject)
 
 
 @query(_ALL + f"SELECT count(*) AS n FROM t WHERE p = '{vocab.RDF_TYPE}' AND o = '{NS}ont/LineItem'")
@@ -408,7 +436,7 @@ def object_relation(spark, d):
 @query(f"SELECT '{NS}item/' || {_KEY} AS s, min('{NS}order/' || l_orderkey) AS order_link, min('{NS}part/' || l_partkey) AS part_link, min('{NS}supplier/' || l_suppkey) AS supplier_link FROM lineitem GROUP BY 1")
 def run_links(spark, d):
     spaces = {"order_link": NS + "order/", "part_link": NS + "part/", "supplier_link": NS + "supplier/"}
-    return graph.links_by_class(triples_of(spark, d, "lineitem", vocab.RDF_TYPE, vocab.RDFS + "seeAlso"), NS + "ont/LineItem", spaces)
+    return graph.record_links(table(spark, d, "lineitem"), lineitem_mapping().subject, F.lit(True), lineitem_links(), spaces)
 
 
 @query(f"SELECT '{NS}order/' || o_orderkey AS s, '{NS}customer/' || o_custkey AS customer_link FROM orders WHERE o_orderstatus = 'F'")
@@ -416,21 +444,6 @@ def experiment_links(spark, d):
     return graph.links_by_class(triples_of(spark, d, "orders", vocab.RDF_TYPE, vocab.RDFS + "seeAlso"), NS + "ont/FilledOrder", {"customer_link": NS + "customer/"})
 
 
-@query("SELECT p_partkey, p_partkey || ': ' || p_name AS label, p_brand, p_type, p_size FROM part")
-def record_metadata(spark, d):
-    return table(spark, d, "part").select("p_partkey", S.composed_label(text("p_partkey"), "p_name").alias("label"), "p_brand", "p_type", "p_size")
-
-
-@query("SELECT p_partkey, p_name FROM part WHERE p_brand = 'Brand#1' OR p_brand = 'Brand#12'")
-def by_platform(spark, d):
-    return table(spark, d, "part").filter(c("p_brand").isin("Brand#1", "Brand#12")).select("p_partkey", "p_name")
-
-
-@query("SELECT p_type, count(*) AS n FROM part GROUP BY p_type")
-def by_strategy(spark, d):
-    return table(spark, d, "part").groupBy("p_type").agg(F.count("*").alias("n"))
-
-
 # --- shapes, validation, reconciliation ---------------------------------------------------------------
 
 
@@ -439,9 +452,10 @@ def shape_cardinality(spark, d):
     return validate.cardinality(triples_of(spark, d, "lineitem", vocab.RDF_TYPE, vocab.RDFS + "seeAlso"), NS + "ont/LineItem", vocab.RDFS + "seeAlso", 1, 2)
 
 
-@query(_ALL + f"SELECT DISTINCT s FROM t WHERE p = '{vocab.RDF_TYPE}' AND o = '{NS}ont/FilledOrder'")
+@query(f"SELECT '{NS}order/' || o_orderkey AS s FROM orders WHERE o_orderstatus NOT IN ('F', 'O')")
 def shape_class(spark, d):
-    return validate.of_class(triples_of(spark, d, "orders", vocab.RDF_TYPE), NS + "ont/FilledOrder")
+    """Subjects that should be open or filled orders, and are not."""
+    return validate.not_of_class(triples_of(spark, d, "orders", vocab.RDF_TYPE, vocab.DCT + "identifier"), [NS + "ont/FilledOrder", NS + "ont/OpenOrder"], NS + "order/")
 
 
 @query(_MULTI + f"SELECT s, o FROM t WHERE p = '{vocab.DCT}issued' AND o_datatype IS DISTINCT FROM '{vocab.XSD}dateTime' AND s IN (SELECT s FROM t WHERE p = '{vocab.RDF_TYPE}' AND o = '{NS}ont/OpenOrder')")
@@ -449,7 +463,7 @@ def shape_datatype(spark, d):
     return validate.datatype(triples_of(spark, d, "orders"), NS + "ont/OpenOrder", vocab.DCT + "issued", vocab.XSD + "dateTime")
 
 
-@query(_MULTI + f"SELECT s, o FROM t WHERE p = '{vocab.RDFS}seeAlso' AND s IN (SELECT s FROM t WHERE p = '{vocab.RDF_TYPE}' AND o = '{NS}ont/LineItem') AND o NOT IN (SELECT s FROM t WHERE p = '{vocab.RDF_TYPE}' AND o = '{NS}ont/Part')")
+@query(_MULTI + f"SELECT s, o FROM t WHERE p = '{vocab.RDFS}seeAlso' AND EXISTS (SELECT 1 FROM t m WHERE m.s = t.s AND m.p = '{vocab.RDF_TYPE}' AND m.o = '{NS}ont/LineItem') AND NOT EXISTS (SELECT 1 FROM t m WHERE m.s = t.o AND m.p = '{vocab.RDF_TYPE}' AND m.o = '{NS}ont/Part')")
 def shape_ref(spark, d):
     return validate.reference(all_triples(spark, d, "lineitem", "part", predicates=(vocab.RDF_TYPE, vocab.RDFS + "seeAlso")), NS + "ont/LineItem", vocab.RDFS + "seeAlso", NS + "ont/Part")
 
@@ -459,32 +473,6 @@ def shape_nodekind(spark, d):
     return validate.node_kind(triples_of(spark, d, "part"), NS + "ont/Part", vocab.RDFS + "label", "iri")
 
 
-@query("SELECT count(*) AS lines, count(*) FILTER (WHERE c_custkey % 50 = 0) AS errors FROM customer")
-def validate_nt(spark, d):
-    """Statements with a part of the full stops cut off."""
-    lines = nt_lines(triples_of(spark, d, "customer", vocab.RDF_TYPE))
-    cut = F.regexp_extract("line", "/([0-9]+)>", 1).cast("long") % 50 == 0
-    shown = lines.select(F.when(cut, F.regexp_replace("line", r" \.$", "")).otherwise(c("line")).alias("line"))
-    return shown.agg(F.count("*").alias("lines"), F.count_if(~c("line").endswith(" .")).alias("errors"))
-
-
-@query("SELECT count(*) AS records, count(*) FILTER (WHERE c_custkey % 50 = 0) AS errors FROM customer")
-def validate_ttl(spark, d):
-    """Blocks of which some have an empty identifier."""
-    emptied = F.regexp_replace(customer_mapping().turtle(), 'dct:identifier "[0-9]*"', 'dct:identifier ""')
-    block = F.when(c("c_custkey") % 50 == 0, emptied).otherwise(customer_mapping().turtle())
-    lines = table(spark, d, "customer").select(F.explode(F.split(block, "\n")).alias("line"))
-    return lines.agg(F.count_if(c("line").rlike("^  a ont:Customer [;.]$")).alias("records"), F.count_if(F.contains("line", F.lit('dct:identifier ""'))).alias("errors"))
-
-
-@query("SELECT (SELECT count(*) FROM customer) AS source_rows, (SELECT count(*) FROM customer) AS subjects, CAST(0 AS BIGINT) AS apart")
-def reconcile_counts(spark, d):
-    rows = table(spark, d, "customer").agg(F.count("*").alias("source_rows"))
-    subjects = triples_of(spark, d, "customer").agg(F.countDistinct("s").alias("subjects"))
-    both = rows.select("source_rows", F.lit(0).cast("long").alias("subjects")).unionByName(subjects.select(F.lit(0).cast("long").alias("source_rows"), "subjects"))
-    return both.agg(F.sum("source_rows").alias("source_rows"), F.sum("subjects").alias("subjects"), (F.sum("source_rows") - F.sum("subjects")).alias("apart"))
-
-
 @query("SELECT CAST(p_partkey AS VARCHAR) AS key, 'kind' AS field, p_type AS expected, CASE WHEN p_partkey % 10 = 0 THEN 'other' ELSE p_type END AS found FROM part WHERE p_partkey % 10 = 0")
 def field_fidelity(spark, d):
     """Terms read back from triples, some of them changed on the way."""
@@ -520,3 +508,6 @@ def tsv_parse(spark, d):
 @query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages")
 def markup_title(spark, d):
     return table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+
+
+from . import written  # noqa: E402, F401  registers the queries that go through files

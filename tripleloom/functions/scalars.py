@@ -107,6 +107,7 @@ def literal_text(c: Column | str) -> Column:
 
 
 def json_text(c: Column | str) -> Column:
-    """A JSON string with its quotes; null stays null."""
+    """A JSON string with its quotes; null stays null. Texts without characters to escape are only put in quotes."""
     listed = F.to_json(F.array(col(c)))
-    return F.when(col(c).isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))
+    plain = col(c).rlike(r"^[^\"\\\x00-\x1f\x7f-\u009f\u2028\u2029]*$")
+    return F.when(plain, F.concat(F.lit('"'), col(c), F.lit('"'))).when(col(c).isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))

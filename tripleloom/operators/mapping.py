@@ -44,9 +44,6 @@ class Links:
     predicate: str
     iris: tuple[Column, ...]
 
-    def array(self) -> Column:
-        return F.filter(F.array(*self.iris), lambda i: i.isNotNull())
-
 
 @dataclass(frozen=True)
 class Node:
@@ -177,8 +174,57 @@ class Mapping:
     # --- N-Triples -------------------------------------------------------------------------------
 
     def ntriples(self) -> Column:
-        """The lines of a record, each with its line end."""
-        return F.concat(F.array_join(F.transform(self.triple_array(), nt_line), "\n"), F.lit("\n"))
+        """The lines of a record, each with its line end.
+
+        Single statements are joined as columns, which stays in generated code; only the arrays of
+        :class:`Parts` are walked by a lambda.
+        """
+        head = F.when(self.type[1].isNotNull(), self._line(self.subject, vocab.RDF_TYPE, self._iri(S.iri(self.prefixes[self.type[0]], self.type[1]))))
+        parts = [F.array_join(F.transform(x.items, self._part_lines(x)), "\n") for x in self.statements if isinstance(x, Parts)]
+        parts = [F.when(F.size(x.items) > 0, p) for x, p in zip([x for x in self.statements if isinstance(x, Parts)], parts, strict=True)]
+        return F.concat(F.concat_ws("\n", head, *self._lines(self.subject, self.statements), *parts), F.lit("\n"))
+
+    @staticmethod
+    def _iri(c: Column) -> Column:
+        return F.concat(F.lit("<"), c, F.lit(">"))
+
+    def _line(self, s: Column, p: str, o: Column, given: Column | None = None, node: bool = False) -> Column:
+        line = F.concat(s if node else self._iri(s), F.lit(f" <{p}> "), o, F.lit(" ."))
+        return line if given is None else F.when(given, line)
+
+    def _lines(self, s: Column, statements: tuple, given: Column | None = None, node: bool = False) -> list[Column]:
+        """Lines of the single statements, null where nothing is said."""
+        out = []
+        for x in statements:
+            if isinstance(x, Text):
+                end = f"^^<{self.full(x.datatype)}>" if x.datatype else ""
+                out.append(self._line(s, self.full(x.predicate), F.concat(F.lit('"'), S.escape(x.value), F.lit('"' + end)), given, node))
+            elif isinstance(x, Term):
+                out.append(self._line(s, self.full(x.predicate), self._iri(S.iri(self.prefixes[x.prefix], x.local)), given, node))
+            elif isinstance(x, Links):
+                out += [self._line(s, self.full(x.predicate), self._iri(i), given, node) for i in x.iris]
+            elif isinstance(x, Node):
+                there = F.coalesce(*x.given).isNotNull() if given is None else given & F.coalesce(*x.given).isNotNull()
+                label = S.bnode(self.key, x.label)
+                out.append(self._line(s, self.full(x.predicate), label, there, node))
+                if x.type:
+                    out.append(self._line(label, vocab.RDF_TYPE, self._iri(S.iri(self.prefixes[x.type[0]], x.type[1])), there, True))
+                out += self._lines(label, x.statements, there, True)
+        return out
+
+    def _part_lines(self, x: Parts):
+        quoted = lambda c: F.concat(F.lit('"'), S.escape(c), F.lit('"'))
+
+        def lines(a: Column) -> Column:
+            return F.concat_ws(
+                "\n",
+                self._line(self.subject, self.full(x.predicate), self._iri(a.iri)),
+                self._line(a.iri, vocab.RDF_TYPE, F.lit(f"<{self.full(x.type)}>")),
+                self._line(a.iri, self.full(x.name), quoted(a["name"])),
+                self._line(a.iri, self.full(x.value), quoted(a["value"])),
+            )
+
+        return lines
 
     # --- Turtle ----------------------------------------------------------------------------------
 
@@ -194,35 +240,29 @@ class Mapping:
         return F.when(local.rlike(_LOCAL), short).otherwise(F.concat(F.lit("<" + self.prefixes[prefix]), local, F.lit(">")))
 
     def _said(self, statements: tuple) -> list[Column]:
-        """Arrays of "predicate object" texts."""
+        """Texts "predicate object", null where nothing is said."""
         out = []
         for x in statements:
             lead = F.lit(self._name(x.predicate) + " ")
             if isinstance(x, Text):
-                text = F.concat(lead, F.lit('"'), S.escape(x.value), F.lit('"' + (f"^^{x.datatype}" if x.datatype else "")))
-                out.append(F.when(x.value.isNotNull(), F.array(text)))
+                out.append(F.concat(lead, F.lit('"'), S.escape(x.value), F.lit('"' + (f"^^{x.datatype}" if x.datatype else ""))))
             elif isinstance(x, Term):
-                out.append(F.when(x.local.isNotNull(), F.array(F.concat(lead, self._local(x.prefix, x.local)))))
+                out.append(F.when(x.local.isNotNull(), F.concat(lead, self._local(x.prefix, x.local))))
             elif isinstance(x, Links):
-                out += [F.when(i.isNotNull(), F.array(F.concat(lead, F.lit("<"), i, F.lit(">")))) for i in x.iris]
+                out += [F.concat(lead, self._iri(i)) for i in x.iris]
             elif isinstance(x, Node):
-                inner = [F.when(x.type[1].isNotNull(), F.array(F.concat(F.lit("a "), self._local(*x.type))))] if x.type else []
-                body = F.array_join(F.transform(self._texts([*inner, *self._said(x.statements)]), lambda t: F.concat(F.lit("    "), t)), " ;\n")
-                out.append(F.when(F.coalesce(*x.given).isNotNull(), F.array(F.concat(lead, F.lit("[\n"), body, F.lit("\n  ]")))))
+                inner = [F.when(x.type[1].isNotNull(), F.concat(F.lit("a "), self._local(*x.type)))] if x.type else []
+                body = F.concat_ws(" ;\n    ", *inner, *self._said(x.statements))
+                out.append(F.when(F.coalesce(*x.given).isNotNull(), F.concat(lead, F.lit("[\n    "), body, F.lit("\n  ]"))))
             else:
                 names = F.array_join(F.transform(x.items, lambda a: F.concat(F.lit("    <"), a.iri, F.lit(">"))), " ,\n")
-                out.append(F.when(F.size(x.items) > 0, F.array(F.concat(F.lit(self._name(x.predicate) + "\n"), names))))
+                out.append(F.when(F.size(x.items) > 0, F.concat(F.lit(self._name(x.predicate) + "\n"), names)))
         return out
 
-    @staticmethod
-    def _texts(arrays: list[Column]) -> Column:
-        return F.concat(*[F.coalesce(a, F.array().cast("array<string>")) for a in arrays])
-
     def turtle(self) -> Column:
         """The block of a record, and one for each of its parts, each with a blank line after it."""
-        said = self._texts([F.array(F.concat(F.lit("a "), self._local(*self.type))), *self._said(self.statements)])
-        lines = F.array_join(F.transform(said, lambda t: F.concat(F.lit("  "), t)), " ;\n")
-        block = F.concat(self._local(self.subject_prefix, self.key), F.lit("\n"), lines, F.lit(" .\n\n"))
+        lines = F.concat_ws(" ;\n  ", F.concat(F.lit("a "), self._local(*self.type)), *self._said(self.statements))
+        block = F.concat(self._local(self.subject_prefix, self.key), F.lit("\n  "), lines, F.lit(" .\n\n"))
         for x in self.statements:
             if isinstance(x, Parts):
                 block = F.concat(block, F.array_join(F.transform(x.items, self._part_block(x)), ""))
@@ -252,7 +292,8 @@ class Mapping:
             elif isinstance(x, Term):
                 value = F.when(x.local.isNotNull(), json_object([json_member("@id", S.json_text(F.concat(F.lit(x.prefix + ":"), x.local)))], depth + 1))
             elif isinstance(x, Links):
-                value = json_array(F.transform(x.array(), lambda i: json_object([json_member("@id", S.json_text(i))], depth + 2)), depth + 1)
+                each = [F.when(i.isNotNull(), json_object([json_member("@id", S.json_text(i))], depth + 2)) for i in x.iris]
+                value = F.when(F.coalesce(*x.iris).isNotNull(), json_items(F.concat_ws(json_comma(depth + 1), *each), depth + 1))
             elif isinstance(x, Node):
                 kind = [json_member("@type", S.json_text(F.concat(F.lit(x.type[0] + ":"), x.type[1])))] if x.type else []
                 value = F.when(F.coalesce(*x.given).isNotNull(), json_object([*kind, *self._members(x.statements, depth + 1)], depth + 1))
@@ -279,16 +320,23 @@ def json_member(key: str, value: Column) -> Column:
     return F.concat(F.lit(f'"{key}": '), value)
 
 
+def json_comma(depth: int) -> str:
+    return ",\n" + "  " * (depth + 1)
+
+
 def json_object(members: list[Column], depth: int) -> Column:
+    """An object of the members that are not null."""
     pad = "  " * depth
-    kept = F.filter(F.array(*members), lambda m: m.isNotNull())
-    return F.concat(F.lit("{\n"), F.array_join(F.transform(kept, lambda m: F.concat(F.lit(pad + "  "), m)), ",\n"), F.lit(f"\n{pad}}}"))
+    return F.concat(F.lit(f"{{\n{pad}  "), F.concat_ws(json_comma(depth), *members), F.lit(f"\n{pad}}}"))
 
 
-def json_array(items: Column, depth: int) -> Column:
+def json_items(body: Column, depth: int) -> Column:
     pad = "  " * depth
-    body = F.array_join(F.transform(items, lambda m: F.concat(F.lit(pad + "  "), m)), ",\n")
-    return F.when(F.size(items) > 0, F.concat(F.lit("[\n"), body, F.lit(f"\n{pad}]")))
+    return F.concat(F.lit(f"[\n{pad}  "), body, F.lit(f"\n{pad}]"))
+
+
+def json_array(items: Column, depth: int) -> Column:
+    return F.when(F.size(items) > 0, json_items(F.array_join(items, json_comma(depth)), depth))
 
 
 def nt_line(t: Column) -> Column:

@@ -32,6 +32,7 @@ FORMATS = ("ttl", "jsonld", "nt")
 CHUNK_SIZE = 100_000
 #: Seconds between looks at the chunks that are done.
 PROGRESS_SECONDS = 2.0
+HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
 
 
 def _numbered(df: DataFrame, chunk_size: int) -> tuple[DataFrame, int]:
@@ -283,7 +284,14 @@ def _stage(parsed: Parsed, mapping: Mapping, path: str) -> None:
     good = F.col("error").isNull()
     shown = [F.when(good, x).alias(n) for n, x in (("ttl", mapping.turtle()), ("jsonld", mapping.jsonld()), ("nt", mapping.ntriples()))]
     rows = parsed.rows.select(F.col("accession").alias("__accession"), "error", "message", "record.*")
-    rows.select("error", F.col("__accession").alias("accession"), "message", *shown).write.parquet(path)
+    spark = rows.sparkSession
+    before = spark.conf.get(HUGE_METHOD)
+    # longer methods than the JVM compiles are split into many, instead of being interpreted
+    spark.conf.set(HUGE_METHOD, "8000")
+    try:
+        rows.select("error", F.col("__accession").alias("accession"), "message", *shown).write.parquet(path)
+    finally:
+        spark.conf.set(HUGE_METHOD, before)
 
 
 def load_progress(output: str) -> dict | None:

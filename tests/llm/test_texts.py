@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -39,6 +40,17 @@ def test_bpe_equals_the_library(tokenizer):
         assert tool.decode(np.array(want, np.int64)).decode() == tokenizer.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_knows_every_code_point(tokenizer):
+    """Also those that are newer than Python's tables, or than the library's."""
+    with open(PATH, "rb") as f:
+        tool = bpe.Encoder(f.read())
+    points = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 7 == 0 or unicodedata.category(chr(c)) == "Cn" and c < 0x40000)]
+    for at in range(0, len(points), 50_000):
+        texts = [f"x{chr(c)}y 1{chr(c)}" for c in points[at : at + 50_000]]
+        wrong = [hex(ord(t[1])) for t, w in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True) if tool.encode(t) != w.ids]
+        assert not wrong
+
+
 def test_bpe_frames(spark, tokenizer):
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)] + [(None, "a b", "x")], "doc_id long, text string, ids string")
     rows = bpe.encode(df, PATH).collect()

@@ -13,7 +13,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -26,12 +26,48 @@ from .common import prepare
 
 #: A vocabulary file is sent to executors whole; larger ones are refused.
 MOST_VOCABULARY = 64 << 20
+#: No character before this one is newer than the tables of Python and of word patterns.
+_LATE = regex.compile("[\u0558-\U0010ffff]")
 #: Words whose pieces a worker remembers.
 REMEMBERED = 1 << 19
 #: Longer words are encoded but not remembered.
 LONG_WORD = 64
 
 
+# fixed values: letters and digits that Unicode 16.0 added to 15.1, as the tables of word patterns have them
+ADDED = """
+1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D40-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5 113B7
+113D1 113D3 116D0-116E3 11BC0-11BE0 11BF0-11BF9 11DE0-11DE9 1246F 12475-1247F 12550-12686 13460-143FA 16100-1611D
+16130-16139 16D40-16D6C 16D70-16D79 16FF4-16FF6 18CFF 1CCF0-1CCF9 1E5D0-1E5ED 1E5F0-1E5FA
+""".split()
+# fixed values: lower case that Unicode 16.0 and 17.0 added, as first-last:distance
+LOWERED = "1C89:1 A7CC:1 A7CE:1 A7D2:1 A7D4:1 A7DA:1 A7CB:-A567 A7DC:-A641 10D50-10D65:20 16EA0-16EB8:1B".split()
+
+
+def _ranges(texts: list[str]) -> list[tuple[int, int]]:
+    ends = [[int(x, 16) for x in t.split("-")] for t in texts]
+    return [(x[0], x[-1]) for x in ends]
+
+
+@cache
+def _newer() -> regex.Pattern:
+    """Letters and digits of this process's patterns that Unicode 16.0 has not assigned: words have other symbols there."""
+    added = {c for a, b in _ranges(ADDED) for c in range(a, b + 1)}
+    unassigned = "".join(chr(c) for c in range(0x530, 0x110000) if unicodedata.category(chr(c)) == "Cn" and c not in added)
+    runs = regex.findall(r"[\p{L}\p{N}]+", unassigned) or ["\uffff"]
+    return regex.compile(f"[{''.join(map(regex.escape, runs))}]")
+
+
+@cache
+def _lowered() -> tuple[regex.Pattern, dict[int, int]]:
+    pairs = {}
+    for x in LOWERED:
+        span, _, distance = x.partition(":")
+        for a, b in _ranges([span]):
+            pairs |= {c: c + int(distance, 16) for c in range(a, b + 1) if chr(c).lower() == chr(c)}
+    return regex.compile("[" + ("".join(map(chr, pairs)) or "\uffff") + "]"), pairs
+
+
 def byte_symbols() -> dict[int, str]:
     """The printable character that byte-level vocabularies write for each byte."""
     plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -209,6 +245,14 @@ class Encoder:
             text = pattern.sub(to, text)
         if self.lower:
             text = text.replace("Σ", "σ").lower()
+        if not text.isascii() and _LATE.search(text):
+            found, pairs = _lowered()
+            if self.lower and found.search(text):
+                text = text.translate(pairs)
+            if _newer().search(text):
+                # a private character is a symbol to the pattern as well
+                shown = self.words.finditer(_newer().sub("\ue000", text))
+                return [self.remembered[text[m.start() : m.end()]] for m in shown]
         return list(map(self.remembered.__getitem__, self.words.findall(text)))
 
     def encode_text(self, text: str | None) -> str:

@@ -235,6 +235,49 @@ def test_pipeline(spark):
     assert steps["tokens"](spark, four, sf).count() == four.count() == corpus_pipeline.run(spark, sf).count()
 
 
+def pipeline_folder(path, spark, rows, columns):
+    spark.createDataFrame(rows, columns).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return str(path)
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls in every column, repeated and null ids, equal rows, a long text, columns with names that stages use inside."""
+    rng = random.Random(3)
+    words = {"en": [f"the{c}ing" for c in "abcdefghijklmnop"], "de": [f"sch{c}keit" for c in "abcdefghijklmnop"]}
+    prose = lambda lang, n: " ".join(rng.choice(words[lang]) + rng.choice("aeiou") for _ in range(n))
+    rows = [(i, prose(lang, 40), lang, "s", 1, "k", "x") for i, lang in enumerate(["en", "de"] * 60)]
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu"
+    odd = [(None, prose("en", 50), None, None, None, None, None), (None, prose("de", 50), "de", "s", 1, "k", "x"), (7, prose("en", 60), "en", "s", 1, "k", "x")]
+    dirty = (7, f"{prose('en', 30)} {item} {prose('en', 30)}", "en", "s", 1, "k", "x")
+    secret = (500, f"{prose('en', 40)} password = hunter2xyz {prose('en', 40)}", "en", "s", 1, "k", "x")
+    long = (501, prose("de", 120_000), "de", "s", 1, "k", "x")
+    gone = [(600, None, "en", "s", 1, "k", "x"), (601, "", None, "s", 1, "k", "x"), (602, "123 !", "en", "s", 1, "k", "x")]
+    every = [*rows, *odd, odd[2], rows[3], dirty, secret, long, *gone]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, __key string, lang_pred string"
+    sf = pipeline_folder(tmp_path, spark, every, columns)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        docs = step(spark, docs, sf)
+        assert docs.columns == [c.split()[0] for c in columns.split(", ")], name
+        from tripleloom.llm.common import stage
+
+        docs = stage(docs, name)
+    got = docs.collect()
+    want = [*rows, *odd, long]
+    texts = sorted(r.text for r in got if r.doc_id != 500)
+    assert texts == sorted(x[1] for x in want) and {r.lang_pred for r in got} == {"x", None}
+    assert sum(r.doc_id == 7 for r in got) == 2 and sum(r.doc_id is None for r in got) == 2
+    hidden = next(r for r in got if r.doc_id == 500)
+    assert "hunter2xyz" not in hidden.text and hidden.n_chars == len(hidden.text)
+    assert corpus_pipeline.run(spark, sf).count() == len(got)
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    sf = pipeline_folder(tmp_path, spark, [], "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.run(spark, sf).count() == 0
+
+
 def test_decontamination_among_repeated_words(spark):
     rng = random.Random(12)
     items, words = passages(rng, 60, 3, 20)

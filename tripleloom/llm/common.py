@@ -56,6 +56,12 @@ def drop_stage(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for k in range(len(taken) + 1) if (n := f"__{stem}{k or ''}") not in taken)
+
+
 def shuffle_parts(spark: SparkSession, rows: int, rows_per_task: int) -> int:
     """Partitions for a keyed exchange: the session's number, or more if tasks would get too many rows."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))

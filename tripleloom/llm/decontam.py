@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, stage
+from .common import free_name, prepare, stage
 
 #: Buckets for words, dimensions of the latent space, further columns of the sketch.
 BUCKETS, DIMENSIONS, SPARE = 1 << 12, 84, 12
@@ -446,6 +446,12 @@ def _search(rows: DataFrame, space: Space, items: list[Item], doc_type: str) ->
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the documents that hold an item of the benchmark."""
-    found = stage(contaminated(docs, benchmark).select(F.col("doc_id").alias("__doc")).distinct(), "contaminated")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__doc")), "left_anti")
+    """docs without the rows whose text holds an item of the benchmark.
+
+    Rows are told by a digest of their text, so ids may repeat or be null: a row never goes for another's text.
+    Rows of null or empty text stay. All columns are kept.
+    """
+    names, key = docs.columns, free_name(docs, "text")
+    keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    found = stage(contaminated(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return keyed.join(found, key, "left_anti").select(*names)

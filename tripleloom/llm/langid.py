@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import prepare
+from .common import free_name, prepare
 
 #: Buckets that n-grams are hashed to, and the n-grams' sizes.
 BUCKETS, SIZES = 1 << 14, 3
@@ -191,20 +191,23 @@ def fit(docs: DataFrame, sample_rows: int = 2000) -> Model:
     return train(made, idf) if made else Model([], idf, np.zeros((BUCKETS, 0)), np.zeros(0))
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with ``lang_pred`` and ``score``; a text that is null or has no letter is ``und`` with score 0."""
+def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with the language and its score under ``names``; a text that is null or has no letter is ``und`` with score 0.
+
+    Columns of docs that have these names are replaced.
+    """
     spark = docs.sparkSession
     prepare(spark)
     sent = spark.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in names]
     docs = docs.select(*kept)
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [sent.value.predict(t) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], [*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
 
@@ -222,5 +225,6 @@ def identify(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least: float = 0.3, sample_rows: int = 2000) -> DataFrame:
     """docs without rows of which the language is ``und`` or has a score below ``least``."""
-    marked = predict(docs, fit(docs, sample_rows))
-    return marked.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    found, score = free_name(docs, "lang"), free_name(docs, "score")
+    marked = predict(docs, fit(docs, sample_rows), (found, score))
+    return marked.filter((F.col(found) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import drop_stage, prepare, stage
+from .common import drop_stage, free_name, prepare, shuffle_parts, stage
 
 #: The session's setting that holds the secret key, as text.
 KEY_SETTING = "spark.tripleloom.pii.key"
 #: Entities that drew more than once are broadcast up to this number, else joined.
 MOST_SENT = 200_000
+#: Entities that a task draws for: few bytes, but much work.
+DRAW_ROWS = 20_000
 #: The draw from which on surrogates carry digits of a digest, and rounds of drawing after which there is an error.
 LAST, MOST_ROUNDS = 8, 40
 
@@ -364,6 +366,7 @@ def redraws(found: DataFrame, key: bytes, tool_of=Surrogates) -> DataFrame:
             made = [_canonical(k, tool.known(k, v, d)) for k, v, d in zip(kinds, values, draws, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["kind", "value", "draw", "made"])
 
+    found = found.repartition(shuffle_parts(found.sparkSession, found.count(), DRAW_ROWS), "kind", "value")
     shape = "kind string, value string, draw int, made string"
     cls = F.split("kind", "-")[0]
     real = found.select(cls.alias("class"), F.col("value").alias("made")).distinct()
@@ -400,7 +403,7 @@ def pseudonymise(docs: DataFrame, key: bytes, most_sent: int = MOST_SENT, tool_o
     names = [*docs.columns, "n_entities"]
     if more.limit(most_sent + 1).count() > most_sent:
         # too many for a broadcast: every row gets its own share of them by a join
-        row, draws = (next(n for k in range(len(docs.columns) + 1) if (n := f"__{what}{k}") not in docs.columns) for what in ("row", "draws"))
+        row, draws = free_name(docs, "row"), free_name(docs, "draws")
         docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
         own = _mentions(docs.select(F.col(row).alias("row"), "text")).join(more, ["kind", "value"])
         own = own.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("kind", "value", "draw")).alias(draws))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, prepare, shuffle_parts, stage
+from .common import components, free_name, prepare, shuffle_parts, stage
 
 BITS, BLOCKS = 64, 4
 BLOCK_BITS = BITS // BLOCKS
@@ -263,13 +263,13 @@ def keep_first(docs: DataFrame, budget: int = 3, width: int = 3) -> DataFrame:
     are in different components; of rows equal in all one stays. Fingerprints and digests alone go
     through the search; the texts are shuffled once, to meet the digests that were chosen.
     """
-    names = docs.columns
+    names, key = docs.columns, free_name(docs, "key")
     row = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.sha2(F.coalesce(F.col("text"), F.lit("")), 256), F.hex(F.xxhash64(*names))), 256)
-    keyed = docs.select(*names, row.alias("__key"))
-    fps = stage(fingerprints(keyed.select(F.struct("doc_id", "__key").alias("doc_id"), "text"), width).select("doc_id.doc_id", "doc_id.__key", "fp"), "fps")
+    keyed = docs.select(*names, row.alias(key))
+    fps = stage(fingerprints(keyed.select(F.struct("doc_id", F.col(key).alias("key")).alias("doc_id"), "text"), width).select("doc_id.doc_id", "doc_id.key", "fp"), "fps")
     rooted = _components(fps.select("doc_id", "fp"), budget, SUBTREE_ROWS).select("fp", "root")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "__key")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "key")
     by_print = fps.groupBy("fp").agg(F.min(order).alias("first"))
-    firsts = by_print.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.__key").alias("__key"))
+    firsts = by_print.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias(key))
     # equal rows have one digest, and are next to each other after the join by it
-    return keyed.join(firsts, "__key", "left_semi").dropDuplicates(["__key"]).select(*names)
+    return keyed.join(firsts, key, "left_semi").dropDuplicates([key]).select(*names)

@@ -2,7 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir), works on all that the stage before kept, and is written
 as Parquet and read again before the next one starts. All but the last return the columns of
-``documents``.
+``documents``, whatever others it has.
+
+Rows of null or empty text, or without a letter, have no language and go with the first stage. Ids may
+be null or repeat: of rows equal in all columns one stays, others are told apart by their texts, and none goes for another's.
+Nulls in other columns change nothing. Empty tables give empty results.
 """
 
 from __future__ import annotations

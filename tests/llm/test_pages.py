@@ -210,12 +210,12 @@ def test_templates(spark):
 def test_templates_inside_articles(spark):
     box = "<section class='x1'><p>Follow the paper on all channels</p><p>Write to the editor</p></section>"
     own = [" ".join(chr(97 + i) * k for k in range(3, 20)) for i in range(12)]
-    page = lambda i: f"<body><article><h2>Result</h2><p>{own[i]}</p>{box}<table><tr><td>{i}</td></tr></table></article></body>"
+    page = lambda i: f"<body><article><h2>Result</h2><p>{own[i]}</p>{box}<p>A line of the licence</p><table><tr><td>{i}</td></tr></table></article></body>"
     rows = [(i, f"http://h/{i}", page(i)) for i in range(12)]
     copy = f"<main><p>{own[0]}</p><p>A copied page keeps its lines</p><p>{own[1]}</p></main>"
     rows += [(100 + i, f"http://copies/{i}", copy) for i in range(12)]
     got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert all(got[i] == f"Result\n\n{own[i]}\n\n{i}" for i in range(12))
+    assert all(got[i] == f"Result\n\n{own[i]}\n\nA line of the licence\n\n{i}" for i in range(12))
     assert "A copied page keeps its lines" in got[100]
     assert len(html.template_hashes("<article>" + "<div>" * 3000 + "deep</article>")[1]) == 0
 

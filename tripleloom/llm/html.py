@@ -40,8 +40,8 @@ HEADERS = {"header", "banner"}
 OWN = set("tags search widget toolbar skip header banner notice dialog aside footer reply related".split())
 #: Elements beside an article, or beside what holds it, that belong to it.
 LEADS = set("h1 h2 h3 h4 h5 h6 hgroup p blockquote figure".split())
-#: Elements that may recur in the text of different articles, such as a heading or a table's cell.
-PARTS = set("h1 h2 h3 h4 h5 h6 td th tr dt caption".split())
+#: Elements that may recur in the text of different articles: paragraphs, quotations, entries of lists, headings, cells.
+PARTS = set("p blockquote pre li dt dd h1 h2 h3 h4 h5 h6 td th tr caption figcaption".split())
 MAIN = {"article", "main"}
 
 # a value is quoted if a quote follows the equals sign; other quotes are characters like any
@@ -187,7 +187,7 @@ def subtrees(root: Node, inside: bool) -> dict[int, Subtree]:
 
 def may_be_template(node: Node, sub: Subtree, whole: Subtree, inside: bool) -> bool:
     """Whether a subtree goes if it recurs. In a marked article, half of its text or more never does,
-    nor a heading or a table's cell by itself, nor what has no letters.
+    nor what has no letters, nor one of PARTS by itself: authors repeat sentences, templates repeat boxes.
     """
     if node.tag not in BLOCK or node.tag in ("html", "body"):
         return False

@@ -165,11 +165,13 @@ class Mapping:
         The keys alone are shuffled to find those that occur more than once; such records are the only
         ones of which the triples are compared with each other.
         """
+        single = lambda rows: rows.select(F.lit(self.source).alias("source"), F.inline(F.array_distinct(self._said_rows(predicates)))).filter(F.col("s").isNotNull())
+        often = records.select(self.key.alias("__key")).groupBy("__key").count().filter("count > 1").select("__key")
+        if often.isEmpty():
+            return single(records)
         keyed = records.withColumn("__key", self.key)
-        often = keyed.groupBy("__key").count().filter("count > 1").select("__key")
-        alone = keyed.join(often, "__key", "left_anti")
-        once = alone.select(F.lit(self.source).alias("source"), F.inline(F.array_distinct(self._said_rows(predicates)))).filter(F.col("s").isNotNull())
-        return once.unionByName(self.triples(keyed.join(often, "__key", "left_semi"), predicates).distinct())
+        again = self.triples(keyed.join(often, "__key", "left_semi"), predicates).distinct()
+        return single(keyed.join(often, "__key", "left_anti")).unionByName(again)
 
     # --- N-Triples -------------------------------------------------------------------------------
 

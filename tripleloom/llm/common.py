@@ -16,8 +16,8 @@ def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches of whole texts small enough for a Python worker: the session's setting, if not smaller already."""
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{name}"
-        now = int(str(spark.conf.get(name)).removesuffix("b"))
-        if not 0 < now <= most:
+        now = str(spark.conf.get(name)).lower().removesuffix("b")
+        if not now.isdecimal() or not 0 < int(now) <= most:
             spark.conf.set(name, str(most))
 
 

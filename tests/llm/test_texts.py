@@ -64,6 +64,8 @@ def test_bpe_frames(spark, tokenizer):
     back = {r.doc_id: r.text for r in bpe.decode(bpe.encode(df, PATH), PATH).collect()}
     assert back[1] == "" and back[9] == "x</w> y</w> z</w>"
     assert bpe.encode(df.limit(0), PATH).count() == 0
+    twice = bpe.encode(df.union(df), PATH, with_ids=False).collect()
+    assert len(twice) == 2 * len(rows) and len(set(twice)) == len({(r.doc_id, r.ids_sha256) for r in rows})
 
 
 def brute_repeats(texts, length, keep_first=False):

@@ -14,16 +14,14 @@ import time
 from pyspark.sql import functions as F
 
 from tripleloom.operators import sink
-from tripleloom.operators.specs import MAPPINGS
 from tripleloom.plans import registry
 from tripleloom.session import session
-from tripleloom.sources import read_source
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINES = ["type_counts", "triple_count", "predicate_dist", "spot_lookup", "crosslink_distinct", "run_links", "seealso_unpivot", "nested_nodes", "turtle_blocks", "tsv_parse", "xml_extract", "field_fidelity", "shape_cardinality", "literal_escape"]
 #: Records of the dumps that are converted.
-RECORDS = {"sra": 1_000_000, "biosample": 250_000, "bioproject": 250_000, "sra-experiment": 200_000}
+RECORDS = {"sra": 1_000_000, "biosample": 100_000, "bioproject": 100_000, "sra-experiment": 100_000}
 
 
 def timed(work) -> float:
@@ -78,8 +76,6 @@ def main() -> None:
     rates = {}
     with tempfile.TemporaryDirectory() as folder:
         for source, path in dumps(spark, folder).items():
-            mapping = MAPPINGS[source]()
-            times[f"render_{source}"] = timed(lambda source=source, path=path, mapping=mapping: sink.render(mapping, read_source(spark, source, path).records).write.format("noop").mode("overwrite").save())
             out = f"{folder}/out_{source}"
             times[f"convert_{source}"] = timed(lambda source=source, path=path, out=out: sink.convert(spark, source, path, out))
             rates[source] = {"records": RECORDS[source], "records_per_s": round(RECORDS[source] / times[f"convert_{source}"])}

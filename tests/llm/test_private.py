@@ -22,6 +22,7 @@ SAMPLES = [
     ("пароль: 'секрет'; token='ключ-№7'", 2),
     ("api_key=Zk3Q99xx, password: please, secret: hunter2xyz.", 2),
     ("Mrs Anna Smith left. Anna Smith returned. Ms Smith spoke. Anna said: Annaba", 6),
+    ("le secret: peut-être, password: amazing! pwd=a_b_c_d", 1),
     ("Contact: Jane O'Neil-Poe\nJane's card 4111111111111112, 000-12-3456", 3),
     ("2001:db8:85a3::8a2e:370:7334 at 10:30:00", 1),
     ("password='é' secret='\u0b83\u0b83\u0b83\u0b83\u0b83\u0b83'", 1),
@@ -75,6 +76,11 @@ def test_session_key(spark):
     spark.conf.unset(pii.KEY_SETTING)
 
 
+def test_common_words_stay():
+    text = "From: The Editor. Now the young met Mrs Young, as the editor said; Young people, The Editor"
+    assert [(text[a:b], a) for a, b, _, _ in pii.find(text)] == [("The", 6), ("Editor", 10), ("Young", text.index("Young,"))]
+
+
 def test_permutation_is_one():
     tool = pii.Surrogates(b"k")
     assert sorted(tool.permute("x", i, 1000) for i in range(1000)) == list(range(1000))

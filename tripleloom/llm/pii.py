@@ -39,7 +39,7 @@ LAST, MOST_ROUNDS = 8, 40
 EMAIL = regex.compile(r"\w[\w.+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}")
 SECRET = regex.compile(r"(?i)(?<![a-z])(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|secret[_-]?key|пароль)[\"']?\s*[=:]\s*")
 QUOTED = regex.compile(r"[\"']([^\"'\s]{6,})(?=[\"'])")
-BARE = regex.compile(r"(?=[^\s\"',;<>]*[\d_!@#$%^&*+=~?-])([^\s\"',;<>(){}]{6,}?)(?=[.!?]?(?:[\s\"',;<>(){}]|$))")
+BARE = regex.compile(r"(?=[^\s\"',;<>]*[\d_@#$%^&*+=~])([^\s\"',;<>(){}]{6,}?)(?=[.!?]?(?:[\s\"',;<>(){}]|$))")
 IPV6 = regex.compile(r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])")
 KEY_FORMS = regex.compile(r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|[0-9a-f]{40}|[0-9A-F]{40}|[0-9a-f]{64})(?![A-Za-z0-9])")
 IBAN = regex.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -76,6 +76,7 @@ _PART = r"\p{Lu}[\p{L}\p{M}'’-]*[\p{L}\p{M}]"
 _NAME = regex.compile(rf"(?<!\p{{L}})(?:({'|'.join(sorted(_GENDER, key=len, reverse=True))})\.? ({_PART}(?: {_PART}){{0,2}})|(?:{'|'.join(CUES)}): *({_PART}(?: {_PART}){{1,2}}))")
 _CALLED = [t + end for t in _GENDER for end in (" ", ". ")] + [f"{c}:" for c in CUES]
 _CAPITALISED = regex.compile(rf"(?<![\p{{L}}\p{{M}}\p{{N}}_]){_PART}(?![\p{{L}}\p{{M}}\p{{N}}_])")
+_LOWER = regex.compile(r"(?<![\p{L}\p{M}])\p{Ll}[\p{L}\p{M}]*")
 _GENITIVE = regex.compile(r"['’]s$")
 _NUMERIC = re.compile(r"[0-9+(]")
 
@@ -157,10 +158,13 @@ def _names(text: str) -> Iterator[tuple[int, int, str]]:
     """The parts of names that stand after a title or a cue, and all other mentions of these parts in the text.
 
     The last part is the family. A given name has the gender of the person's title; without one, that of
-    another mention in the text, else none.
+    another mention in the text, else none. A part that the text also has as a word in lower case is only
+    taken where it stands after a title or a cue.
     """
     known: dict[str, str] = {}
+    named = []
     for m in _NAME.finditer(text):
+        named.append(m.span(2) if m[2] else m.span(3))
         parts = _GENITIVE.sub("", m[2] or m[3]).split(" ")
         known.setdefault(parts[-1], "name-family")
         for x in parts[:-1]:
@@ -169,10 +173,16 @@ def _names(text: str) -> Iterator[tuple[int, int, str]]:
                 known[x] = kind
     if not known:
         return
+    plain = set(_LOWER.findall(text))
+    common = {x for x in known if x.lower() in plain}
+    at = 0
     for m in _CAPITALISED.finditer(text):
         x = m[0] if m[0] in known else _GENITIVE.sub("", m[0])
         if x in known:
-            yield m.start(), m.start() + len(x), known[x]
+            while at < len(named) and named[at][1] <= m.start():
+                at += 1
+            if x not in common or at < len(named) and named[at][0] <= m.start():
+                yield m.start(), m.start() + len(x), known[x]
 
 
 def find(text: str | None) -> list[tuple[int, int, str, str]]:

@@ -6,7 +6,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from tripleloom.llm import decontam, pii
+from tripleloom.llm import common, decontam, pii
 
 KEY = b"of the tests"
 SAMPLES = [
@@ -148,6 +148,43 @@ def test_decontamination_finds_all(spark):
     assert len(again) == 4 * len(found) and {(r.doc_id, r.item_id % 1000) for r in again} == found
 
 
+def test_clean_rows_without_a_shuffle(spark):
+    """Rows are judged where they stand, whatever their number: repeated, without an id, or with an id of a leaking row."""
+    rng = random.Random(31)
+    items, words = passages(rng, 30)
+    fill = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    docs, want = [], []
+    for i in range(90):
+        text = f"{fill(60)} {items[i % 30]} {fill(60)}" if i % 3 == 0 else None if i == 1 else "" if i == 2 else fill(150)
+        rows = [((i // 3 if i % 5 else None), text, [i])] * (2 if i % 4 == 0 else 1)
+        docs += rows
+        want += [] if i % 3 == 0 else rows
+    df = spark.createDataFrame(docs, "doc_id long, text string, text_parts array<int>")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    order = lambda rows: sorted(map(repr, rows))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most_bytes in (decontam.MOST_BYTES, 4000):
+            clean = decontam.keep_clean(df, bench, most_bytes)
+            assert clean.schema == df.schema and order(map(tuple, clean.collect())) == order(want)
+            plan = clean._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "Join" not in plan
+        assert decontam.keep_clean(df, bench.limit(0)).count() == len(docs)
+        assert decontam.keep_clean(df.limit(0), bench).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_blocks_leave_the_callers_table(spark):
+    """A staged table that is given stays when the searches of several blocks drop their own."""
+    rng = random.Random(32)
+    items, _ = passages(rng, 30)
+    df = common.stage(spark.createDataFrame([(k, x) for k, x in enumerate(items)] + [(50, "quite another text")], "doc_id long, text string"), "given")
+    clean = decontam.keep_clean(df, spark.createDataFrame(list(enumerate(items)), "item_id long, text string"), 2000)
+    assert [r.doc_id for r in clean.collect()] == [50] and df.count() == 31
+
+
 def test_long_words_and_pieces():
     rng = random.Random(1)
     text = " ".join("".join(rng.choice("abcé") for _ in range(rng.randrange(1, 9))) for _ in range(600_000))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, prepare, stage
+from .common import drop_stage, prepare, stage
 
 #: Buckets for words, dimensions of the latent space, further columns of the sketch.
 BUCKETS, DIMENSIONS, SPARE = 1 << 12, 84, 12
@@ -411,23 +411,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, most_bytes: int = MOST_B
     """
     spark = docs.sparkSession
     prepare(spark)
-    rows = docs.select("doc_id", "text")
-    columns = [c for c in ("text", "answer") if c in benchmark.columns]
-    key = F.sha2(F.concat_ws("\0", *[F.coalesce(F.sha2(c, 256), F.lit("-")) for c in columns]), 256)
-    known = stage(benchmark.filter(F.col("text").isNotNull()).select("item_id", key.alias("key"), *columns), "items")
-    texts = known.select("key", *columns).dropDuplicates(["key"])
-    total = texts.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(200))).alias("n")).first()["n"]
+    rows, out = docs.select("doc_id", "text"), None
+    known, blocks = _known(benchmark, most_bytes)
     ids = {"doc": rows.schema["doc_id"].dataType.simpleString(), "item": benchmark.schema["item_id"].dataType.simpleString()}
-    if not total:
+    if not blocks:
         return spark.createDataFrame([], f"doc_id {ids['doc']}, item_id {ids['item']}, cosine double, lcs double, answer double, first_word long")
-    space, blocks, out = latent_space(rows), -(-total // most_bytes), None
-    for k in range(blocks):
-        part = texts.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k) if blocks > 1 else texts
+    space = latent_space(rows)
+    for part in blocks:
         found = _search(rows, space, items_of(part.orderBy("key").collect()), ids["doc"])
         out = found if out is None else out.unionByName(found)
     return out.join(known.select("key", "item_id"), "key").select("doc_id", "item_id", "cosine", "lcs", "answer", "first_word")
 
 
+def _known(benchmark: DataFrame, most_bytes: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, item_id) of the items that have a text, and their different texts in blocks of about ``most_bytes``."""
+    columns = [c for c in ("text", "answer") if c in benchmark.columns]
+    key = F.sha2(F.concat_ws("\0", *[F.coalesce(F.sha2(c, 256), F.lit("-")) for c in columns]), 256)
+    known = stage(benchmark.filter(F.col("text").isNotNull()).select("item_id", key.alias("key"), *columns), "items")
+    texts = known.select("key", *columns).dropDuplicates(["key"])
+    total = texts.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(200))).alias("n")).first()["n"]
+    blocks = -(-(total or 0) // most_bytes)
+    return known, [texts.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k) if blocks > 1 else texts for k in range(blocks)]
+
+
 def _search(rows: DataFrame, space: Space, items: list[Item], doc_type: str) -> DataFrame:
     """(doc_id, key, cosine, lcs, answer, first_word) for items of at most MOST_BYTES, as they were chosen."""
     sent = rows.sparkSession.sparkContext.broadcast((space, items))
@@ -445,13 +451,38 @@ def _search(rows: DataFrame, space: Space, items: list[Item], doc_type: str) ->
     return rows.mapInArrow(run, f"doc_id {doc_type}, key string, cosine double, lcs double, answer double, first_word long")
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, space: Space, items: list[Item]) -> DataFrame:
+    """docs without the rows whose text holds one of the items."""
+    sent = docs.sparkSession.sparkContext.broadcast((space, items))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = Searcher(*sent.value)
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            clean[[x[0] for x in tool.search(batch.column(at).to_pylist())]] = False
+            yield batch.filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
     """docs without the rows whose text holds an item of the benchmark.
 
-    Rows are told by a digest of their text, so ids may repeat or be null: a row never goes for another's text.
-    Rows of null or empty text stay. All columns are kept.
+    Every row is judged by its own text where it stands, so ids may repeat or be null, and no text is shuffled.
+    Rows of null or empty text stay. All columns are kept. If the items need several searches, each works
+    on the rows that the one before left, which are staged between them.
     """
-    names, key = docs.columns, free_name(docs, "text")
-    keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    found = stage(contaminated(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(key)).distinct(), "contaminated")
-    return keyed.join(found, key, "left_anti").select(*names)
+    prepare(docs.sparkSession)
+    _, blocks = _known(benchmark, most_bytes)
+    if not blocks:
+        return docs
+    space, left, own = latent_space(docs), docs, None
+    for k, part in enumerate(blocks):
+        if k:
+            left = stage(left, "clean")
+            if own is not None:
+                drop_stage(own)
+            own = left
+        left = _without(left, space, items_of(part.orderBy("key").collect()))
+    return left

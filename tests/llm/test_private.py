@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -195,6 +196,38 @@ def test_long_words_and_pieces():
     assert len(decontam.hashes_of(b"")) == 0 and len(decontam.hashes_of(b"a" * (5 << 20))) == 5
 
 
+def test_candidates_hold_words_of_the_item():
+    """Windows that repeat a few words of an item are no candidates; all that have three fifths of it in order are."""
+    rng = random.Random(41)
+    items, words = passages(rng, 40, 10, 60)
+    space = decontam.Space(np.random.default_rng(3).standard_normal((decontam.BUCKETS, 20)).astype(np.float32))
+    searcher = lambda: decontam.Searcher(space, [decontam.Item(str(k), decontam.folded(x), decontam.folded(x)) for k, x in enumerate(items)])
+    few = [" ".join(rng.choice(x.split()[:4]) for _ in range(300)) for x in items]
+    assert not list(searcher().candidates([decontam.buckets_of(decontam.folded(x)) for x in few]))
+    assert not list(decontam.Searcher(space, []).search(items))
+
+    # items that repeat their words too
+    items += [" ".join(x.split()[:7] * k) for x, k in zip(items[:8], (2, 3, 4, 8) * 2, strict=True)]
+    tool = searcher()
+    fill = lambda n: [rng.choice(words) for _ in range(n)]
+    rows = []
+    for k, x in enumerate(items):
+        part = [w for w in x.split() if rng.random() > 0.2]
+        rows.append(decontam.buckets_of(decontam.folded(" ".join(fill(k) + part + fill(rng.randrange(30))))))
+    got = {x[:3] for x in tool.candidates(rows)}
+    want = set()
+    for r, b in enumerate(rows):
+        for i, size in enumerate(tool.sizes.tolist()):
+            w = next(w for w in decontam.WINDOWS if size <= w)
+            item = space.place_of(decontam.buckets_of(tool.items[i].text))
+            for first in range(0, len(b), w // 4):
+                around = b[max(0, first - w // 4) : first + w + w // 4].tolist()
+                near = space.place_of(b[first : first + w]) @ item > decontam.COSINE + 1e-4
+                if near and decontam.lcs(tool.hashed(i), size, around) >= decontam.PARAPHRASE * size:
+                    want.add((r, first, i))
+    assert len({r for r, _, i in want if r == i}) > 40 and want <= got
+
+
 def test_tails_of_long_items(spark):
     """The last words of a long item, by cosine alone: no four words in a row are left."""
     rng = random.Random(21)

@@ -34,13 +34,14 @@ COSINE, COPY, PARAPHRASE, ANSWER = 0.4, 0.8, 0.6, 0.8
 SHORT, GRAM = 8, 4
 #: Words of passages that the space is made from; words that are handled at once.
 PASSAGE, PART = 64, 10_000
+#: Bits for the buckets of an item or a window.
+BITS = 1 << 10
 #: Bytes of items that are sent to executors at once; more go in several searches. Items that are compared at once.
 MOST_BYTES, BLOCK_ITEMS = 16 << 20, 2048
 #: Letters of words: digits, letters, the underscore, and all that is not ASCII but this punctuation.
 _WORD = re.compile(rb"[0-9a-z_\x80-\xff]+")
 _MARKS = re.compile("[\u00a0-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb\u00bf\u2000-\u206f\u3000-\u303f]")
-_IN_WORD = np.zeros(256, bool)
-_IN_WORD[[*b"0123456789abcdefghijklmnopqrstuvwxyz_", *range(128, 256)]] = True
+_IN_WORD = bytes(c in b"0123456789abcdefghijklmnopqrstuvwxyz_" or c >= 128 for c in range(256))
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -74,13 +75,18 @@ def hashes_of(data: bytes) -> np.ndarray:
     out, at = [], 0
     while True:
         a = np.frombuffer(data, np.uint8, min(len(data) - at, _ROOM), at) if at < len(data) else np.zeros(0, np.uint8)
-        inside = _IN_WORD[a]
-        if at + len(a) < len(data) and len(gaps := np.flatnonzero(~inside)):
-            a, inside = a[: gaps[-1] + 1], inside[: gaps[-1] + 1]
-        edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+        inside = np.zeros(len(a) + 2, bool)
+        inside[1:-1] = np.frombuffer(a.tobytes().translate(_IN_WORD), bool)
+        if at + len(a) < len(data) and len(gaps := np.flatnonzero(~inside[1:-1])):
+            a, inside = a[: gaps[-1] + 1], inside[: gaps[-1] + 3]
+            inside[-1] = False
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
         start, end = edge[0::2], edge[1::2]
         total = np.zeros(len(a) + 1, np.uint64)
-        np.cumsum((a + np.uint64(1)) * _DOWN[: len(a)], out=total[1:])
+        value = a.astype(np.uint64)
+        value += np.uint64(1)
+        value *= _DOWN[: len(a)]
+        np.cumsum(value, out=total[1:])
         h = (total[end] - total[start]) * _UP[start]
         out.append((h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
         at += len(a)
@@ -157,6 +163,20 @@ def _added(project: np.ndarray, line: np.ndarray, step: int) -> np.ndarray:
     return out
 
 
+def _bits(line: np.ndarray, step: int) -> np.ndarray:
+    """Bits for the buckets, modulo BITS, in every ``step`` words of a line that is a multiple of them long.
+
+    BUCKETS, which pads, counts as bucket 0: that may let a window through, but leaves none out.
+    """
+    out = np.zeros((len(line) // step, BITS // 64), np.uint64)
+    row = np.arange(len(out))
+    one = np.uint64(1) << (line & 63).astype(np.uint64)
+    word = line >> 6 & BITS // 64 - 1
+    for k in range(step):
+        out[row, word[k::step]] |= one[k::step]
+    return out
+
+
 def latent_space(docs: DataFrame) -> Space:
     """The space of all passages of ``docs(text)``; without words, every place is zero."""
     width = DIMENSIONS + SPARE
@@ -172,11 +192,16 @@ def latent_space(docs: DataFrame) -> Space:
                 df += np.bincount(b, minlength=BUCKETS) > 0
             for b in _parts(rows):
                 count = len(b) // PASSAGE
-                table = np.zeros((count, BUCKETS + 1), np.float32)
-                np.add.at(table, (np.repeat(np.arange(count), PASSAGE), b), np.float32(1))
+                # columns for the buckets that occur, the last one is for padding
+                here = np.zeros(BUCKETS + 1, bool)
+                here[b] = here[BUCKETS] = True
+                some = np.flatnonzero(here)
+                column = np.cumsum(here) - 1
+                table = np.zeros((count, len(some)), np.float32)
+                np.add.at(table.reshape(-1), np.repeat(np.arange(count) * len(some), PASSAGE) + column[b], np.float32(1))
                 y = _added(probe, b, PASSAGE)
-                y /= np.maximum(PASSAGE - table[:, BUCKETS:], 1)
-                image += table.T @ y
+                y /= np.maximum(PASSAGE - table[:, -1:], 1)
+                image[some] += table.T @ y
         values = [pa.array(image[:BUCKETS, j]) for j in range(width)]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(df), pa.array(np.full(BUCKETS, n)), *values], names)
 
@@ -228,16 +253,14 @@ class Searcher:
         self.project = np.vstack([space.project, np.zeros((1, space.project.shape[1]), np.float32)])
         hashes = [hashes_of(x.text) for x in items]
         self.sizes = np.array(list(map(len, hashes)))
-        # words and places are made for the items that are candidates; of all, a bit for each bucket
+        # words and places are made for the items that are candidates; of all, bits for their buckets
         self.words = lru_cache(1 << 12)(lambda i: _WORD.findall(items[i].text))
         self.masks = lru_cache(1 << 12)(lambda i: masks_of(self.words(i)))
         self.answers = lru_cache(1 << 12)(lambda i: (masks_of(a := _WORD.findall(items[i].answer)), len(a)))
         self.hashed = lru_cache(1 << 12)(lambda i: masks_of(buckets_of(items[i].text).tolist()))
-        bits = np.zeros((len(items), BUCKETS // 8 + 1), np.uint8)
-        for row, h in zip(bits, hashes, strict=True):
-            b = (h >> np.uint64(52)).astype(np.int64)
-            np.bitwise_or.at(row, b >> 3, (1 << (b & 7)).astype(np.uint8))
-        self.bits = bits
+        self.bits = np.array([np.bitwise_or.reduce(_bits((h >> np.uint64(52)).astype(np.int64), 1)) for h in hashes], np.uint64).reshape(-1, BITS // 64)
+        # bits that a text must have in common with an item, of which some words may share one
+        self.least = PARAPHRASE * self.sizes - (self.sizes - np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64))
         found: dict[int, list[tuple[np.ndarray, int]]] = {}
         self.queries = {w: ([], []) for w in WINDOWS}
         for i, h in enumerate(hashes):
@@ -260,9 +283,11 @@ class Searcher:
             sieve[known >> np.uint64(44)] = True
             self.exact.append((size, known[order], item[order], place[order], sieve))
 
-    def holds(self, i: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        """Whether items have a word of a bucket; none has the bucket BUCKETS, which pads."""
-        return self.bits[i, bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1
+    def shared(self, i: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        """How many bits items of at most 64 words have in common with rows of bits."""
+        # no byte gets over 64 by adding, as all counts of a row together are no more
+        count = np.bitwise_count(self.bits[i] & bits).view(np.uint64).sum(axis=1)
+        return (count * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64)
 
     def region(self, first: int, i: int, place: int) -> tuple[int, int]:
         """Words of a document that are compared with an item of which the part at ``place`` is near ``first``."""
@@ -273,8 +298,7 @@ class Searcher:
     def candidates(self, rows: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, float]]:
         """(row, window's first word, item, place in the item, cosine) of windows that are near an item.
 
-        Windows around which fewer words are in the item than a paraphrase has in common with it
-        are left out.
+        Windows are left out if fewer words of the item stand around them than a paraphrase has in common with it.
         """
         gap = WINDOWS[-1]
         padded = [np.append(b, np.full(gap + -len(b) % gap, BUCKETS)) for b in rows]
@@ -283,29 +307,32 @@ class Searcher:
         sums = None
         for w in WINDOWS:
             step = w // 4
-            sums = _added(self.project, line, step) if sums is None else pairs[0::2]
-            pairs = sums.copy()
+            sums, bits = (_added(self.project, line, step), _bits(line, step)) if sums is None else (pairs[0::2], two[0::2])
+            pairs, two = sums.copy(), bits.copy()
             pairs[:-1] += sums[1:]
+            two[:-1] |= bits[1:]
             every, vectors = self.queries[w]
             if not len(every):
                 continue
             total = pairs.copy()
             total[:-2] += pairs[2:]
             norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", total, total)), 1e-6)
+            # of a window and a step before and behind it
+            around = np.concatenate((two[:1], two[:-1]))
+            around[:-1] |= two[1:]
+            around[:-3] |= two[3:]
             for first in range(0, len(every), BLOCK_ITEMS):
                 places = every[first : first + BLOCK_ITEMS]
                 near = total @ vectors[first : first + BLOCK_ITEMS].T
-                at, q = np.nonzero(near >= COSINE * norm[:, None])
+                at, q = np.divmod(np.flatnonzero(near >= COSINE * norm[:, None]), len(places))
                 if not len(at):
                     continue
                 which = places[q, 0]
-                fits = np.ones(len(at), bool)
-                inner = self.sizes[which] <= gap
-                for s in range(0, len(at), 1 << 14):
-                    cut = slice(s, s + (1 << 14))
-                    around = np.clip(at[cut, None] * step + np.arange(-step, w + step), 0, len(line) - 1)
-                    found = self.holds(which[cut, None], line[around]).sum(axis=1)
-                    fits[cut] = ~inner[cut] | (found >= PARAPHRASE * self.sizes[which[cut]])
+                fits = self.sizes[which] > gap
+                inner = np.flatnonzero(~fits)
+                for s in range(0, len(inner), 1 << 12):
+                    cut = inner[s : s + (1 << 12)]
+                    fits[cut] = self.shared(which[cut], around[at[cut]]) >= self.least[which[cut]]
                 at, q = at[fits], q[fits]
                 row = np.searchsorted(begins, at * step, side="right") - 1
                 for a, b, r in zip(at.tolist(), q.tolist(), row.tolist(), strict=True):
@@ -364,7 +391,7 @@ class Searcher:
                 near = (h[at:end] >> np.uint64(52)).astype(np.int64)
                 size = int(self.sizes[i])
                 # equal words have equal buckets: what fails on buckets fails on words
-                if lcs(self.hashed(i), size, near[self.holds(np.array(i), near) > 0].tolist()) < PARAPHRASE * size:
+                if lcs(self.hashed(i), size, near.tolist()) < PARAPHRASE * size:
                     continue
                 if row not in words:
                     words[row] = words_of(texts[row])
